@@ -35,7 +35,7 @@ def parse_amount(c: Column | str) -> Column:
 
 def parse_date(c: Column | str, fmt: str) -> Column:
     c = F.col(c) if isinstance(c, str) else c
-    return F.try_to_date(c, F.lit(fmt))
+    return F.try_to_date(c, fmt)
 
 
 def standardize_status(c: Column | str, null_as_review: bool = False) -> Column:

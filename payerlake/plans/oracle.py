@@ -199,3 +199,28 @@ quarantine AS (SELECT * FROM flagged WHERE len(rejection_reasons) > 0)""")
 
 def with_silver(body: str, cfg: PipelineConfig = DEFAULT) -> str:
     return "WITH " + silver_ctes(cfg) + "\n" + body
+
+
+WIRE_CTE = """,
+wire AS (
+  SELECT claim_id, patient_id, provider_id, claim_date, service_from_date,
+    CASE WHEN payer_name = 'payer_b' THEN service_from_date ELSE service_to_date END AS service_to_date,
+    CASE WHEN payer_name = 'payer_b' THEN admission_date END AS admission_date,
+    CASE WHEN payer_name = 'payer_b' THEN discharge_date END AS discharge_date,
+    diagnosis_code, procedure_code, billed_amount, allowed_amount, paid_amount,
+    claim_status, claim_type, payer_name, processing_date, l_orderkey
+  FROM claims
+)"""
+
+
+def with_wire(body: str, cfg: PipelineConfig = DEFAULT) -> str:
+    return "WITH " + silver_ctes(cfg) + WIRE_CTE + "\n" + body
+
+
+def wire_silver_ctes(cfg: PipelineConfig = DEFAULT, load_date: str | None = None) -> str:
+    """Silver built from the wire feeds: rules run on what the feeds carry."""
+    pd = load_date or _date(cfg.as_of)
+    return ("WITH " + silver_ctes(cfg) + WIRE_CTE + f""",
+wflagged AS (SELECT * REPLACE ({pd} AS processing_date), {reasons_sql(cfg=cfg)} AS rejection_reasons FROM wire),
+wsilver AS (SELECT * EXCLUDE (rejection_reasons) FROM wflagged WHERE len(rejection_reasons) = 0),
+wquarantine AS (SELECT * FROM wflagged WHERE len(rejection_reasons) > 0)""")
