@@ -224,3 +224,14 @@ def wire_silver_ctes(cfg: PipelineConfig = DEFAULT, load_date: str | None = None
 wflagged AS (SELECT * REPLACE ({pd} AS processing_date), {reasons_sql(cfg=cfg)} AS rejection_reasons FROM wire),
 wsilver AS (SELECT * EXCLUDE (rejection_reasons) FROM wflagged WHERE len(rejection_reasons) = 0),
 wquarantine AS (SELECT * FROM wflagged WHERE len(rejection_reasons) > 0)""")
+
+
+def avg_dec(x: str, in_scale: int, out_scale: int, t: str) -> str:
+    """round(avg(decimal x with in_scale), out_scale) exactly."""
+    s = f"sum(CAST(({x}) * {10 ** in_scale} AS HUGEINT))"
+    n = f"NULLIF(count({x}), 0)"
+    if out_scale <= in_scale:
+        hu = _half_up(s, f"({n} * {10 ** (in_scale - out_scale)})")
+    else:
+        hu = _half_up(f"{s} * {10 ** (out_scale - in_scale)}", n)
+    return f"CAST(CAST({hu} AS DECIMAL(38,0)) * {1 / 10 ** out_scale if out_scale else 1} AS {t})"

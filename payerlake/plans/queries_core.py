@@ -156,7 +156,7 @@ ranks AS (
   FROM kranked WHERE rn <= {DEFAULT.top_codes} GROUP BY provider_id
 )"""
 
-PROVIDER_SQL = f""",
+PROVIDER_PRE = f""",
 {PROVIDER_RANKS_CTE},
 base AS (
   SELECT provider_id,
@@ -177,13 +177,24 @@ base AS (
     count_if(claim_type = 'Inpatient') AS inpatient_claims,
     count_if(claim_type = 'Outpatient') AS outpatient_claims
   FROM silver GROUP BY provider_id
-)
-SELECT b.provider_id, total_claims, first_claim_date, last_claim_date, months_active,
+)"""
+
+PROVIDER_SELECT = """SELECT b.provider_id, total_claims, first_claim_date, last_claim_date, months_active,
   unique_patients, total_billed, total_allowed, total_paid, avg_claim_amount,
   claims_approved, claims_denied, approval_rate, denial_rate, primary_payer, payer_count,
   top_5_diagnosis_codes, top_5_procedure_codes, inpatient_claims, outpatient_claims
 FROM base b LEFT JOIN ranks r ON b.provider_id = r.provider_id"""
 
+PROVIDER_SQL = PROVIDER_PRE + "\n" + PROVIDER_SELECT
+
+# silver + the three gold tables as CTEs (monthly, funnel, provider)
+GOLD_CTES = (O.silver_ctes() + ",\nmonthly AS (" + MONTHLY_SQL + "\n),\nfunnel AS (" + FUNNEL_SQL
+             + "\n)" + PROVIDER_PRE + ",\nprovider AS (" + PROVIDER_SELECT + ")")
+
+
+def with_gold(body: str) -> str:
+    return "WITH " + GOLD_CTES + "\n" + body
+
 
 def provider_out(df: DataFrame) -> DataFrame:
     return df.withColumn("top_5_diagnosis_codes", F.array_join("top_5_diagnosis_codes", "|")) \
