@@ -234,3 +234,32 @@ def gold_totals(m: DataFrame, f: DataFrame, p: DataFrame) -> DataFrame:
 
 def newest(df: DataFrame, keys: list[str], k: int = 5) -> DataFrame:
     return df.orderBy(F.col("year_month").desc(), *[F.col(c).asc() for c in keys]).limit(k)
+
+
+# ------------------------------------------------------------------ processing log
+
+def log_by_payer(latest: DataFrame) -> DataFrame:
+    done = latest.filter(F.col("status") == "completed")
+    return done.groupBy("payer_name").agg(
+        _n().alias("files_processed"), F.sum("records_read").alias("total_read"),
+        F.sum("records_accepted").alias("total_accepted"),
+        F.sum("records_quarantined").alias("total_quarantined"),
+        M.pct(F.sum("records_accepted"), F.sum("records_read")).alias("acceptance_rate_pct"))
+
+
+def log_recent(latest: DataFrame, k: int = 10) -> DataFrame:
+    return (latest.select("processing_id", "payer_name", "status", "records_read", "records_accepted",
+                          "records_quarantined", "event_timestamp")
+            .orderBy(F.col("event_timestamp").desc(), F.col("processing_id")).limit(k))
+
+
+def log_failed(latest: DataFrame) -> DataFrame:
+    return (latest.filter(F.col("status") == "failed")
+            .select("processing_id", "payer_name", "bronze_file_path", "error_message", "event_timestamp"))
+
+
+def run_summary(latest: DataFrame) -> DataFrame:
+    done = latest.filter(F.col("status") == "completed")
+    return done.agg(_n().alias("files"), F.sum("records_accepted").alias("accepted"),
+                    F.sum("records_quarantined").alias("quarantined"),
+                    M.pct(F.sum("records_accepted"), F.sum("records_read")).alias("success_pct"))
