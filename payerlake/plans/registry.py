@@ -37,5 +37,6 @@ def register(key: str, sql: str | None = None, note: str = ""):
 
 def load_all() -> dict[str, Entry]:
     # Importing the modules fills the registry.
-    from . import queries_core, queries_feeds, queries_files, queries_gold, queries_reports  # noqa: F401
+    from . import (queries_core, queries_design, queries_feeds, queries_files,  # noqa: F401
+                   queries_gold, queries_reports)
     return REGISTRY
