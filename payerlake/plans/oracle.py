@@ -235,3 +235,43 @@ def avg_dec(x: str, in_scale: int, out_scale: int, t: str) -> str:
     else:
         hu = _half_up(f"{s} * {10 ** (out_scale - in_scale)}", n)
     return f"CAST(CAST({hu} AS DECIMAL(38,0)) * {1 / 10 ** out_scale if out_scale else 1} AS {t})"
+
+
+# Integer-valued columns that oracle queries sum (DuckDB widens those sums to HUGEINT).
+_INT_SUM_ARGS = ("total_claims", "claims_approved", "total_submitted", "approved_count", "denied_count",
+                 "pending_count", "record_count", "accepted", "quarantined", "claims", "approved",
+                 "records_read", "records_accepted", "records_quarantined")
+
+
+def _wrap_calls(sql: str, fn: str, cast: str) -> str:
+    """Wrap every ``fn(...)`` call in ``CAST(... AS cast)`` (balanced parentheses)."""
+    out, i, token = [], 0, fn + "("
+    while True:
+        j = sql.find(token, i)
+        if j < 0 or (j > 0 and (sql[j - 1].isalnum() or sql[j - 1] == "_")):
+            if j < 0:
+                out.append(sql[i:])
+                return "".join(out)
+            out.append(sql[i:j + len(token)])
+            i = j + len(token)
+            continue
+        depth, k = 0, j + len(fn)
+        while k < len(sql):
+            if sql[k] == "(":
+                depth += 1
+            elif sql[k] == ")":
+                depth -= 1
+                if depth == 0:
+                    break
+            k += 1
+        inner = _wrap_calls(sql[j + len(token):k], fn, cast)
+        out.append(sql[i:j] + f"CAST({fn}({inner}) AS {cast})")
+        i = k + 1
+
+
+def normalize_types(sql: str) -> str:
+    """Make DuckDB return BIGINT where Spark returns bigint (count_if, integer sums)."""
+    sql = _wrap_calls(sql, "count_if", "BIGINT")
+    for c in _INT_SUM_ARGS:
+        sql = sql.replace(f"sum({c})", f"CAST(sum({c}) AS BIGINT)")
+    return sql

@@ -57,7 +57,7 @@ for _fam in R.REASON_FAMILIES:
 
 @register("rejection_reasons", O.with_silver(
     "SELECT claim_id, payer_name, array_to_string(rejection_reasons, '|') AS rejection_reasons, "
-    "len(rejection_reasons) AS n_reasons FROM flagged"))
+    "CAST(len(rejection_reasons) AS INTEGER) AS n_reasons FROM flagged"))
 def q_rejection_reasons(spark, sf):
     return flagged_claims(spark, sf).select(
         "claim_id", "payer_name", joined("rejection_reasons"),

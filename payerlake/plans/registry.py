@@ -30,7 +30,8 @@ def register(key: str, sql: str | None = None, note: str = ""):
     def deco(fn: Builder) -> Builder:
         if key in REGISTRY:
             raise ValueError(f"duplicate query key {key}")
-        REGISTRY[key] = Entry(key, fn, sql, note)
+        from .oracle import normalize_types
+        REGISTRY[key] = Entry(key, fn, normalize_types(sql) if sql else None, note)
         return fn
     return deco
 
