@@ -1,8 +1,16 @@
 """Claim validation rules.
 
 Each rule is a Column function that yields its reason string or NULL.  All
-rules of a row are gathered by one ``array_compact(array(...))`` so a row
-costs one projection inside whole-stage codegen, not one pass per rule.
+rules of a row are gathered in one projection: ``concat_ws`` skips the NULL
+reasons, ``split`` turns the joined string back into an array and
+``array_remove`` drops the single empty element of a valid row.
+
+Every input column is referenced once per rule: Catalyst pushes the
+accepted / quarantined filter below the projections (even into a join
+condition), inlining the expressions that produce the inputs, and a
+``when(x != '', f(x))`` shape would evaluate ``x`` twice at every nesting
+level.  (``array_compact`` is a lambda function, evaluated outside
+whole-stage codegen, so it is not used here either.)
 
 A NULL operand never fires a comparison rule (SQL three-valued logic); the
 required-field rule is the one that reports missing values.
@@ -45,9 +53,11 @@ def _c(name: str) -> Column:
 
 def rule_required() -> Column:
     """One reason listing every missing required field, in declared order."""
-    missing = F.array_compact(F.array(*[F.when(_c(f).isNull(), F.lit(f)) for f in REQUIRED_FIELDS]))
-    return F.when(F.size(missing) > 0,
-                  F.concat(F.lit(REQUIRED_FIELD_NULL), F.array_join(missing, ", ")))
+    any_missing = None
+    for f in REQUIRED_FIELDS:
+        any_missing = _c(f).isNull() if any_missing is None else (any_missing | _c(f).isNull())
+    missing = F.concat_ws(", ", *[F.when(_c(f).isNull(), F.lit(f)) for f in REQUIRED_FIELDS])
+    return F.when(any_missing, F.concat(F.lit(REQUIRED_FIELD_NULL), missing))
 
 
 def rules_amounts() -> list[Column]:
@@ -95,13 +105,17 @@ def family_rules(family: str, cfg: PipelineConfig = DEFAULT) -> list[Column]:
     }[family]()
 
 
+# Separator for joining reasons; no reason text contains it.
+_SEP = "\u001f"
+
+
 def rejection_reasons(cfg: PipelineConfig = DEFAULT,
                       families=REASON_FAMILIES) -> Column:
     """All reasons of a row in fixed family order; empty array = valid."""
     rules: list[Column] = []
     for fam in families:
         rules.extend(family_rules(fam, cfg))
-    return F.array_compact(F.array(*rules))
+    return F.array_remove(F.split(F.concat_ws(_SEP, *rules), _SEP), "")
 
 
 ALL_REASONS = [

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..config import DEFAULT
 from ..functions import rules as R
 from ..operators import gold, validate
-from ..sources.claims_fixture import CLAIM_COLUMNS, claims_view
+from ..sources.claims_fixture import CLAIM_COLUMNS, claims_table, claims_view
 from . import oracle as O
 from .registry import register
 
@@ -16,7 +16,7 @@ CFG = DEFAULT
 
 
 def flagged_claims(spark: SparkSession, sf: str) -> DataFrame:
-    return validate.with_reasons(claims_view(spark, sf), CFG)
+    return validate.with_reasons(claims_table(spark, sf), CFG)
 
 
 def silver_claims(spark: SparkSession, sf: str) -> DataFrame:
@@ -40,7 +40,7 @@ def q_claims_view(spark, sf):
 
 def _family_key(family: str):
     def build(spark, sf):
-        df = claims_view(spark, sf).withColumn(
+        df = claims_table(spark, sf).withColumn(
             "reasons", R.rejection_reasons(CFG, (family,)))
         return (df.filter(F.size("reasons") > 0)
                 .select("claim_id", "payer_name", joined("reasons")))

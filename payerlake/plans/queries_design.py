@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import analytics as A
 from ..operators import gold, retrieval
-from ..sources.claims_fixture import CLAIM_COLUMNS, claims_view
+from ..sources.claims_fixture import CLAIM_COLUMNS, claims_table, claims_view
 from ..sources.tables import read_table
 from . import oracle as O
 from .queries_core import CFG, with_gold
@@ -21,7 +21,7 @@ _ORDER = ["processing_date"] + [c for c in CLAIM_COLUMNS if c not in _KEYS and c
 register("dedup_claims", O.with_silver(
     f"SELECT {O.CLAIM_COLS} FROM (SELECT *, row_number() OVER (PARTITION BY payer_name, claim_id ORDER BY "
     + ", ".join(f"{c} DESC NULLS LAST" for c in _ORDER) + ") AS rn FROM claims) WHERE rn = 1"))(
-    lambda spark, sf: A.dedup_claims(claims_view(spark, sf)))
+    lambda spark, sf: A.dedup_claims(claims_table(spark, sf)))
 
 # ------------------------------------------------------------------ retrieval
 

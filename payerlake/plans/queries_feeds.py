@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import standardize as S
-from ..sources.claims_fixture import claims_view
+from ..sources.claims_fixture import claims_table
 from . import oracle as O
 from .queries_core import CFG
 from .registry import register
@@ -15,7 +15,7 @@ _STD_SELECT = ", ".join(STD_COLS)
 
 
 def round_trip(spark, sf, payers=S.PAYERS):
-    claims = claims_view(spark, sf)
+    claims = claims_table(spark, sf)
     return S.standardize_all({p: S.render_feed(claims, p) for p in payers}, CFG).select(*STD_COLS)
 
 
@@ -38,7 +38,7 @@ def q_std_all(spark, sf):
     "SELECT claim_id, billed_amount, allowed_amount, paid_amount FROM wire WHERE payer_name = 'payer_b'"))
 def q_parse_currency(spark, sf):
     """Feed B writes '$1,234.50' amounts; parse them back to decimal(10,2)."""
-    feed = S.render_feed(claims_view(spark, sf), "payer_b")
+    feed = S.render_feed(claims_table(spark, sf), "payer_b")
     lay = S.layout("payer_b")
     from ..functions.parsing import parse_currency
     return feed.select(F.col(lay["claim_id"]).alias("claim_id"),
@@ -59,7 +59,7 @@ def _status_case() -> str:
 def q_standardize_status(spark, sf):
     """Every raw status spelling seen in the feeds and what it maps to."""
     from ..functions.parsing import standardize_status
-    claims = claims_view(spark, sf)
+    claims = claims_table(spark, sf)
     parts = []
     for p in S.PAYERS:
         col = S.layout(p)["claim_status"]

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..operators import reports as RP
 from ..operators import validate
 from ..sources import files as FS
-from ..sources.claims_fixture import CLAIM_COLUMNS, claims_view
+from ..sources.claims_fixture import CLAIM_COLUMNS, claims_table, claims_view
 from ..sources.lake import Lake, read_quarantine, read_registry, read_silver, read_log
 from . import bronze, gold as gold_job, silver as silver_job
 from . import oracle as O
@@ -37,7 +37,7 @@ def batch_lake(spark, sf) -> dict:
     if k in _LAKES:
         return _LAKES[k]
     lake = Lake.scratch(spark, "lake")
-    claims = claims_view(spark, sf)
+    claims = claims_table(spark, sf)
     early = F.year("claim_date") <= WAVE_SPLIT_YEAR
     FS.write_feeds(claims.filter(early), lake.raw, CFG)
     bronze.register_new_files(spark, lake, RUN_TS[0])
@@ -59,7 +59,7 @@ def stream_lake(spark, sf) -> Lake:
         return _LAKES[k]["lake"]
     from ..streaming.ingest import run_ingest
     lake = Lake.scratch(spark, "stream")
-    FS.write_feeds(claims_view(spark, sf), lake.raw, CFG)
+    FS.write_feeds(claims_table(spark, sf), lake.raw, CFG)
     run_ingest(spark, lake, RUN_TS[0], CFG, max_files=64)
     _LAKES[k] = {"lake": lake}
     return lake

@@ -125,3 +125,24 @@ def claims_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     return claims_from_orders(read_table(spark, sf_dir, "lineitem"),
                               read_table(spark, sf_dir, "orders"),
                               read_table(spark, sf_dir, "customer"))
+
+
+_STORED: dict[tuple, str] = {}
+
+
+def claims_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The derived claims as a stored parquet table (written once per session).
+
+    Claims are a stored table in a lakehouse; keeping the derivation out of
+    downstream plans also stops Catalyst from inlining the whole derivation
+    into every validation filter (which it pushes down into the join).  The
+    table lives below the shared checkpoint folder.
+    """
+    from ..session import checkpoint_root, exists, scratch_path
+    key = (spark.sparkContext.applicationId, checkpoint_root(spark), sf_dir.rstrip("/"))
+    path = _STORED.get(key)
+    if path is None or not exists(spark, path):
+        path = scratch_path(spark, "claims")
+        claims_view(spark, sf_dir).write.mode("overwrite").parquet(path)
+        _STORED[key] = path
+    return spark.read.parquet(path)
