@@ -28,8 +28,9 @@ class PipelineConfig:
     # The original mapping turned a missing status into "Under Review"; by
     # default we keep NULL so that the required-field rule can fire.
     null_status_as_review: bool = False
-    # Fixture writer: files per payer and month (splits a hot payer-month).
-    files_per_month: int = 4
+    # Fixture writer: batch folders per payer and month (the writer's
+    # rebalance already splits an oversized payer-month by size).
+    files_per_month: int = 1
     # Salt for patient-id masking.
     mask_salt: str = "payerlake"
     # Top-k size for retrieval and ranking reports.

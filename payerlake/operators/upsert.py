@@ -19,16 +19,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def overwrite_partitions(df: DataFrame, path: str, partition_cols: list[str],
-                         fmt: str = "parquet", cluster: bool = False) -> None:
-    """Replace exactly the partitions present in ``df``.
+def rebalance(df: DataFrame, cols: list[str]) -> DataFrame:
+    """Shuffle rows by the partition columns with the REBALANCE hint: AQE
+    coalesces small partitions (few files per partition value) and splits an
+    oversized one into several tasks (a hot month is written in parallel)."""
+    return df.hint("rebalance", *cols) if cols else df
+
 
-    ``cluster=True`` gathers each partition value into one task (one file per
-    partition) – only for small aggregate tables; large tables keep their
-    task layout so a hot partition value is written by many tasks.
-    """
+def overwrite_partitions(df: DataFrame, path: str, partition_cols: list[str],
+                         fmt: str = "parquet", cluster: bool = True) -> None:
+    """Replace exactly the partitions present in ``df`` (one write, no DELETE)."""
     if cluster:
-        df = df.repartition(*partition_cols)
+        df = rebalance(df, partition_cols)
     (df.write.mode("overwrite")
        .option("partitionOverwriteMode", "dynamic")
        .partitionBy(*partition_cols)
@@ -37,7 +39,7 @@ def overwrite_partitions(df: DataFrame, path: str, partition_cols: list[str],
 
 def append(df: DataFrame, path: str, partition_cols: list[str] | None = None,
            fmt: str = "parquet") -> None:
-    w = df.write.mode("append").format(fmt)
+    w = rebalance(df, partition_cols or []).write.mode("append").format(fmt)
     if partition_cols:
         w = w.partitionBy(*partition_cols)
     w.save(path)

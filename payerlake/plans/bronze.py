@@ -17,7 +17,8 @@ from ..operators import upsert
 from ..sources import files as FS
 from ..sources.lake import Lake, read_registry
 
-REGISTRY_PARTITIONS = ["payer_name", "file_year", "file_month"]
+# One row per file: a small table, partitioned by payer only.
+REGISTRY_PARTITIONS = ["payer_name"]
 
 
 def unregistered_files(spark: SparkSession, lake: Lake) -> DataFrame:

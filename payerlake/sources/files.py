@@ -60,8 +60,8 @@ def describe(files: DataFrame) -> DataFrame:
 # ------------------------------------------------------------------ test feeds
 
 def file_batch(cfg: PipelineConfig = DEFAULT) -> Column:
-    """Split of a payer-month into ``files_per_month`` files by a hash of the
-    claim id (first hex digit of its md5), so no file holds a hot month whole."""
+    """Optional split of a payer-month into ``files_per_month`` folders by a
+    hash of the claim id (first hex digit of its md5)."""
     first_hex = F.conv(F.substring(F.md5(F.col("claim_id")), 1, 1), 16, 10).cast("int")
     return F.pmod(first_hex, F.lit(cfg.files_per_month))
 
@@ -70,9 +70,9 @@ def write_feeds(claims: DataFrame, root: str, cfg: PipelineConfig = DEFAULT,
                 payers=S.PAYERS) -> None:
     """Write canonical claims as the payers' CSV files under ``root``.
 
-    One file per (payer, year, month, batch) leaf folder: rows are
-    repartitioned by the leaf keys, so each leaf is written by exactly one
-    task and the file set is deterministic.
+    Rows are rebalanced by the leaf keys: a leaf below the advisory
+    partition size is written by one task (one file), a larger one is split
+    by AQE over several tasks.
     """
     keys = ["year", "month", "batch"]
     for payer in payers:
@@ -80,5 +80,5 @@ def write_feeds(claims: DataFrame, root: str, cfg: PipelineConfig = DEFAULT,
             "*", F.year("claim_date").alias("year"), F.month("claim_date").alias("month"),
             file_batch(cfg).alias("batch"))
         feed = S.render_feed(part, payer, keep=keys)
-        (feed.repartition(*keys).write.mode("append").option("header", True)
+        (feed.hint("rebalance", *keys).write.mode("append").option("header", True)
              .partitionBy(*keys).csv(f"{root}/provider={payer}"))
