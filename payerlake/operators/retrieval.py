@@ -52,12 +52,15 @@ def _score_chunk(corpus: DataFrame, queries: list, id_col: str, vec: str, k: int
     payload = json.dumps([{"qid": qid, "qv": [float(x) for x in qv]} for qid, qv in queries])
     qtype = "bigint" if all(isinstance(q[0], int) for q in queries) else "string"
     qlit = F.from_json(F.lit(payload), f"array<struct<qid:{qtype},qv:array<double>>>")
+    # query norms once per query (folded into the literal), not once per row
+    qlit = F.transform(qlit, lambda q: F.struct(q["qid"].alias("qid"), q["qv"].alias("qv"),
+                                                _norm(q["qv"]).alias("qn")))
     e = as_double_array(vec)
     scored = (corpus.select(F.col(id_col).alias("item_id"), e.alias("_e"))
               .select("item_id", "_e", _norm(F.col("_e")).alias("_en"))
               .select("item_id", F.explode(F.transform(
                   qlit, lambda q: F.struct(q["qid"].alias("query_id"),
-                                           (_dot(q["qv"], F.col("_e")) / (_norm(q["qv"]) * F.col("_en")))
+                                           (_dot(q["qv"], F.col("_e")) / (q["qn"] * F.col("_en")))
                                            .alias("score")))).alias("s"))
               .select("s.query_id", "item_id", "s.score"))
     w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("item_id").asc())

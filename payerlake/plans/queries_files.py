@@ -136,6 +136,13 @@ register("rpt_registry_size", None, "file sizes depend on the CSV writer: rows-o
     lambda spark, sf: _registry(spark, sf).agg(
         F.round(F.sum("file_size_bytes") / 1024 / 1024, 3).alias("total_size_mb")))
 
+register("rpt_registry_list", with_files(
+    "SELECT payer_name, file_year, file_month, record_count, 'registered' AS processing_status FROM wfiles "
+    "ORDER BY payer_name, file_year, file_month"))(
+    lambda spark, sf: _registry(spark, sf).select(
+        "payer_name", "file_year", "file_month", "record_count", "processing_status")
+    .orderBy("payer_name", "file_year", "file_month", "file_path"))
+
 register("rpt_registry_recent", None, "ties on ingestion time: rows-only")(
     lambda spark, sf: _registry(spark, sf).select(
         "file_name", "payer_name", "file_year", "file_month", "record_count", "processing_status")

@@ -158,6 +158,12 @@ register("rpt_gold_samples", with_gold(
     lambda spark, sf: RP.newest(monthly(spark, sf), ["payer_name"]).select(
         "year_month", "payer_name", "total_claims", "approval_rate"))
 
+register("rpt_funnel_samples", with_gold(
+    "SELECT year_month, payer_name, claim_type, total_submitted, approval_rate FROM funnel "
+    "ORDER BY year_month DESC, payer_name, claim_type LIMIT 5"))(
+    lambda spark, sf: RP.newest(funnel(spark, sf), ["payer_name", "claim_type"]).select(
+        "year_month", "payer_name", "claim_type", "total_submitted", "approval_rate"))
+
 # ------------------------------------------------------------------ gold: funnel
 
 register("rpt_funnel_by_payer_type", with_gold(

@@ -114,3 +114,38 @@ def list_tables(spark: SparkSession, lake: Lake) -> DataFrame:
     rows = [(name.split(".")[0], name.split(".")[1], path, exists(spark, path))
             for name, path in lake.tables().items()]
     return spark.createDataFrame(rows, "layer string, table_name string, path string, present boolean")
+
+
+def ensure_tables(spark: SparkSession, lake: Lake) -> list[str]:
+    """Create every layer table that does not exist yet (empty, with its schema).
+
+    Gold tables are created by their first refresh (their schema is the
+    aggregate's output), so only the bronze and silver tables are seeded.
+    """
+    created = []
+    for path, schema, parts in (
+            (lake.registry, schemas.FILE_REGISTRY, ["payer_name"]),
+            (lake.silver_claims, schemas.SILVER_CLAIMS, ["claim_month", "run_id"]),
+            (lake.quarantine, schemas.QUARANTINE, ["payer_name", "rejection_day", "run_id"]),
+            (lake.log, schemas.PROCESSING_LOG, ["run_id"])):
+        if not exists(spark, path):
+            spark.createDataFrame([], schema).write.partitionBy(*parts).parquet(path)
+            created.append(path)
+    return created
+
+
+def drop_tables(spark: SparkSession, lake: Lake, confirm: bool = False) -> list[str]:
+    """Remove all seven layer tables; absent tables are skipped.  Requires
+    ``confirm=True`` (the original asked for an explicit confirmation too)."""
+    if not confirm:
+        raise PermissionError("drop_tables needs confirm=True")
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    dropped = []
+    for name, path in lake.tables().items():
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        fs = p.getFileSystem(conf)
+        if fs.exists(p):
+            fs.delete(p, True)
+            dropped.append(name)
+    return dropped

@@ -29,3 +29,30 @@ def test_latest_state_hot_key(spark):
     ev = spark.createDataFrame(rows, "id string, ts timestamp, v int").repartition(8)
     got = {r.id: r.v for r in upsert.latest_state(ev, "id", ["ts"]).collect()}
     assert got == {"k": 4999, "j": 7}
+
+
+def test_ensure_and_drop_tables(spark):
+    import pytest
+    from payerlake.sources import lake as L
+    lk = L.Lake.scratch(spark, "drop")
+    created = L.ensure_tables(spark, lk)
+    assert len(created) == 4
+    assert L.ensure_tables(spark, lk) == []
+    assert L.read_silver(spark, lk).count() == 0
+    # seeded tables take partitioned writes afterwards
+    import datetime as dt
+    from payerlake.config import DEFAULT
+    from payerlake.plans import bronze, silver
+    from payerlake.sources import files as FS
+    from payerlake.sources.claims_fixture import claims_table
+    from conftest import SF_SMALL
+    FS.write_feeds(claims_table(spark, SF_SMALL), lk.raw, DEFAULT)
+    bronze.register_new_files(spark, lk, dt.datetime(2001, 6, 30))
+    silver.run_silver(spark, lk, "run-s", dt.datetime(2001, 6, 30))
+    assert L.read_silver(spark, lk).count() + L.read_quarantine(spark, lk).count() == \
+        claims_table(spark, SF_SMALL).count()
+    with pytest.raises(PermissionError):
+        L.drop_tables(spark, lk)
+    assert sorted(L.drop_tables(spark, lk, confirm=True)) == sorted(
+        ["bronze.claims_files", "silver.claims", "silver.claims_quarantine", "silver.processing_log"])
+    assert L.drop_tables(spark, lk, confirm=True) == []
