@@ -24,7 +24,6 @@ from pyspark.sql import functions as F
 
 from ..config import DEFAULT, PipelineConfig
 from ..functions import metrics as M
-from ..sources.claims_fixture import CLAIM_COLUMNS
 
 # ---- fixed values: glossary of terms → ICD-10 category (3 characters) -----
 GLOSSARY = [
@@ -156,6 +155,3 @@ def claims_star(silver: DataFrame, supplier: DataFrame, nation: DataFrame, regio
         M.dsum("billed").alias("total_billed"), F.sum("approved").alias("claims_approved"),
         M.pct(F.sum("approved"), F.sum("claims")).alias("approval_rate"))
 
-
-def dedup_columns() -> list[str]:
-    return list(CLAIM_COLUMNS)

@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from ..config import DEFAULT, PipelineConfig
 from ..functions import rules
-from ..sources.claims_fixture import CLAIM_COLUMNS
 
 QUARANTINE_STRING_COLUMNS = [
     "claim_id", "patient_id", "provider_id", "claim_date", "service_from_date",
@@ -49,8 +48,12 @@ def quarantine_projection(q: DataFrame, rejected_at: Column | None = None,
     """
     rejected_at = rejected_at if rejected_at is not None else F.current_timestamp()
     cols = [F.col(c).cast("string").alias(c) for c in QUARANTINE_STRING_COLUMNS]
-    raw = (F.to_json(F.struct(*[F.col(c) for c in raw_cols])) if raw_cols
-           else F.lit(None).cast("string"))
+    if raw_cols:
+        raw = F.to_json(F.struct(*[F.col(c) for c in raw_cols]))
+    elif "raw_record" in q.columns:  # the file reader already serialised the wire row
+        raw = F.col("raw_record")
+    else:
+        raw = F.lit(None).cast("string")
     src = F.col("source_file_path") if "source_file_path" in q.columns else F.lit(None).cast("string")
     return q.select(
         *cols,
@@ -62,6 +65,3 @@ def quarantine_projection(q: DataFrame, rejected_at: Column | None = None,
         raw.alias("raw_record"),
     )
 
-
-def claim_columns(df: DataFrame) -> DataFrame:
-    return df.select(*CLAIM_COLUMNS)

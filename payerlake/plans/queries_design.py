@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import analytics as A
-from ..operators import gold, retrieval
-from ..sources.claims_fixture import CLAIM_COLUMNS, claims_table, claims_view
+from ..operators import retrieval
+from ..sources.claims_fixture import CLAIM_COLUMNS, claims_table
 from ..sources.tables import read_table
 from . import oracle as O
 from .queries_core import CFG, with_gold

@@ -16,11 +16,12 @@ from pyspark.sql import functions as F
 from ..operators import reports as RP
 from ..operators import validate
 from ..sources import files as FS
-from ..sources.claims_fixture import CLAIM_COLUMNS, claims_table, claims_view
+from ..sources.claims_fixture import CLAIM_COLUMNS, claims_table
 from ..sources.lake import Lake, read_quarantine, read_registry, read_silver, read_log
+from ..sources.lake import list_tables
 from . import bronze, gold as gold_job, silver as silver_job
 from . import oracle as O
-from .queries_core import CFG
+from .queries_core import CFG, MONTHLY_SQL
 from .registry import register
 
 WAVE_SPLIT_YEAR = 1998
@@ -203,14 +204,11 @@ register("run_summary", with_files(
     lambda spark, sf: RP.run_summary(silver_job.latest_log(read_log(spark, batch_lake(spark, sf)["lake"]))))
 
 register("gold_from_files", O.wire_silver_ctes(CFG) + ",\nsilver2 AS (SELECT *, strftime(claim_date, '%Y-%m') "
-         "AS year_month FROM wsilver)\n" + __import__(
-             "payerlake.plans.queries_core", fromlist=["MONTHLY_SQL"]).MONTHLY_SQL.replace(
-             "FROM silver)", "FROM silver2)"))(
+         "AS year_month FROM wsilver)\n" + MONTHLY_SQL.replace("FROM silver)", "FROM silver2)"))(
     lambda spark, sf: spark.read.parquet(batch_lake(spark, sf)["lake"].monthly).drop("last_updated_timestamp"))
 
 register("catalog_tables", None, "table listing: rows-only")(
-    lambda spark, sf: __import__("payerlake.sources.lake", fromlist=["list_tables"]).list_tables(
-        spark, batch_lake(spark, sf)["lake"]))
+    lambda spark, sf: list_tables(spark, batch_lake(spark, sf)["lake"]))
 
 # ------------------------------------------------------------------ streaming
 

@@ -117,15 +117,9 @@ def process_batch(spark: SparkSession, lake: Lake, canonical: DataFrame, files:
     try:
         good = validate.accepted(flagged).select(*schemas.SILVER_CLAIMS.fieldNames())
         upsert.overwrite_partitions(good, lake.silver_claims, SILVER_PARTITIONS)
-        bad = (validate.quarantined(flagged)
-               .select(*[F.col(c).cast("string").alias(c) for c in validate.QUARANTINE_STRING_COLUMNS],
-                       "payer_name", "source_file_path",
-                       F.lit(run_ts).cast("timestamp").alias("rejection_timestamp"),
-                       "rejection_reasons", F.lit(None).cast("string").alias("validation_details"),
-                       (F.col("raw_record") if "raw_record" in flagged.columns
-                        else F.lit(None).cast("string")).alias("raw_record"),
-                       F.lit(run_id).alias("run_id"),
-                       F.lit(run_ts.date().isoformat()).alias("rejection_day")))
+        bad = (validate.quarantine_projection(validate.quarantined(flagged), F.lit(run_ts).cast("timestamp"))
+               .withColumn("run_id", F.lit(run_id))
+               .withColumn("rejection_day", F.lit(run_ts.date().isoformat())))
         upsert.overwrite_partitions(bad.select(*schemas.QUARANTINE.fieldNames()), lake.quarantine,
                                     QUARANTINE_PARTITIONS)
         counts = (flagged.groupBy(F.col("source_file_path").alias("bronze_file_path"))
