@@ -58,3 +58,24 @@ def latest_state(events: DataFrame, key: str | list[str], order_cols: list[str])
     order = F.struct(*[F.col(c) for c in order_cols])
     latest = F.max_by(F.struct(*[F.col(c) for c in payload]), order)
     return events.groupBy(*keys).agg(latest.alias("_s")).select(*keys, "_s.*")
+
+
+def partition_values(df: DataFrame, col: str) -> list:
+    """Distinct values of a partition column (a partition list, small by
+    construction – e.g. months); collect it once before deleting anything."""
+    return [r[0] for r in df.select(col).distinct().collect()]
+
+
+def drop_partitions(spark, values: list, path: str, col: str) -> list[str]:
+    """Delete the ``col=<value>`` partition folders – the parquet equivalent of
+    ``ALTER TABLE … DROP PARTITION``."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    dropped = []
+    for v in values:
+        p = jvm.org.apache.hadoop.fs.Path(f"{path}/{col}={v}")
+        fs = p.getFileSystem(conf)
+        if fs.exists(p):
+            fs.delete(p, True)
+            dropped.append(v)
+    return dropped

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..config import DEFAULT, PipelineConfig
 from ..operators import gold, incremental, upsert
+from ..session import exists
 from ..sources.lake import Lake, read_silver
 
 PROVIDER_BUCKETS = 100
@@ -40,6 +41,13 @@ def run_gold(spark: SparkSession, lake: Lake, run_ts: _dt.datetime,
     upsert.overwrite_partitions(monthly, lake.monthly, ["year_month"], cluster=True)
     funnel = gold.stamp(incremental.refresh_funnel(silver, months), ts)
     upsert.overwrite_partitions(funnel, lake.funnel, ["year_month"], cluster=True)
+    # Months whose claims all left silver (e.g. a run was withdrawn) get no new
+    # rows, so the overwrite above cannot clear them: drop those partitions.
+    if exists(spark, lake.monthly):
+        gone = upsert.partition_values(
+            incremental.vanished_months(spark.read.parquet(lake.monthly), silver), "year_month")
+        for path in (lake.monthly, lake.funnel):
+            upsert.drop_partitions(spark, gone, path, "year_month")
 
     keyed = silver.withColumn("provider_bucket", provider_bucket())
     buckets = (incremental.recent(keyed, cutoff).select("provider_bucket").distinct())

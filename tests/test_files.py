@@ -108,3 +108,25 @@ def test_gold_refresh_reconciles(spark, lake):
     gold.run_gold(spark, lake, TS2, DEFAULT)
     assert spark.read.parquet(lake.monthly).count() == rows
     assert spark.read.parquet(lake.provider).count() == s.select("provider_id").distinct().count()
+
+
+def test_vanished_month_is_dropped_from_gold(spark, lake):
+    """A month whose silver rows disappear (its run is withdrawn) leaves gold."""
+    from payerlake.session import local_path
+    import shutil
+    claims = claims_table(spark, SF_SMALL)
+    FS.write_feeds(claims.filter(F.year("claim_date") == 1996), lake.raw, DEFAULT)
+    bronze.register_new_files(spark, lake, TS1)
+    silver.run_silver(spark, lake, "run-v1", TS1)
+    FS.write_feeds(claims.filter(F.year("claim_date") == 1997), lake.raw, DEFAULT)
+    bronze.register_new_files(spark, lake, TS2)
+    silver.run_silver(spark, lake, "run-v2", TS2)
+    gold.run_gold(spark, lake, TS2, DEFAULT)
+    months = {r.year_month for r in spark.read.parquet(lake.monthly).select("year_month").distinct().collect()}
+    assert any(m.startswith("1997") for m in months)
+    # withdraw run 2 (its log rows), then refresh gold
+    shutil.rmtree(local_path(lake.log) + "/run_id=run-v2")
+    report = gold.run_gold(spark, lake, TS2, DEFAULT)
+    left = {r.year_month for r in spark.read.parquet(lake.monthly).select("year_month").distinct().collect()}
+    assert not any(m.startswith("1997") for m in left)
+    assert report.filter(~F.col("passed")).count() == 0
