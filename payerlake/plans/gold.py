@@ -36,23 +36,28 @@ def run_gold(spark: SparkSession, lake: Lake, run_ts: _dt.datetime,
     silver = silver_for_gold(spark, lake)
     ts = F.lit(run_ts).cast("timestamp")
     cutoff = _dt.date(1900, 1, 1) if full else incremental.since(cfg)
-    months = incremental.affected_months(silver, cutoff)
-    monthly = gold.stamp(incremental.refresh_monthly(silver, months), ts)
-    upsert.overwrite_partitions(monthly, lake.monthly, ["year_month"], cluster=True)
-    funnel = gold.stamp(incremental.refresh_funnel(silver, months), ts)
-    upsert.overwrite_partitions(funnel, lake.funnel, ["year_month"], cluster=True)
-    # Months whose claims all left silver (e.g. a run was withdrawn) get no new
-    # rows, so the overwrite above cannot clear them: drop those partitions.
-    if exists(spark, lake.monthly):
-        gone = upsert.partition_values(
-            incremental.vanished_months(spark.read.parquet(lake.monthly), silver), "year_month")
-        for path in (lake.monthly, lake.funnel):
-            upsert.drop_partitions(spark, gone, path, "year_month")
-
+    # The touched months / provider buckets are small sets used by two
+    # refreshes each: keep them for the duration of the job.
+    months = incremental.affected_months(silver, cutoff).persist()
     keyed = silver.withColumn("provider_bucket", provider_bucket())
-    buckets = (incremental.recent(keyed, cutoff).select("provider_bucket").distinct())
-    touched = keyed.join(buckets, "provider_bucket", "left_semi")
-    providers = gold.stamp(gold.provider_metrics(touched, cfg), ts).withColumn(
-        "provider_bucket", provider_bucket())
-    upsert.overwrite_partitions(providers, lake.provider, ["provider_bucket"], cluster=True)
+    buckets = incremental.recent(keyed, cutoff).select("provider_bucket").distinct().persist()
+    try:
+        monthly = gold.stamp(incremental.refresh_monthly(silver, months), ts)
+        upsert.overwrite_partitions(monthly, lake.monthly, ["year_month"], cluster=True)
+        funnel = gold.stamp(incremental.refresh_funnel(silver, months), ts)
+        upsert.overwrite_partitions(funnel, lake.funnel, ["year_month"], cluster=True)
+        # Months whose claims all left silver (e.g. a run was withdrawn) get no new
+        # rows, so the overwrite above cannot clear them: drop those partitions.
+        if exists(spark, lake.monthly):
+            gone = upsert.partition_values(
+                incremental.vanished_months(spark.read.parquet(lake.monthly), silver), "year_month")
+            for path in (lake.monthly, lake.funnel):
+                upsert.drop_partitions(spark, gone, path, "year_month")
+        touched = keyed.join(buckets, "provider_bucket", "left_semi")
+        providers = gold.stamp(gold.provider_metrics(touched, cfg), ts).withColumn(
+            "provider_bucket", provider_bucket())
+        upsert.overwrite_partitions(providers, lake.provider, ["provider_bucket"], cluster=True)
+    finally:
+        months.unpersist()
+        buckets.unpersist()
     return incremental.reconcile_monthly(spark.read.parquet(lake.monthly), silver)
