@@ -20,6 +20,7 @@ import datetime as _dt
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import schemas
 from ..config import DEFAULT, PipelineConfig
@@ -73,12 +74,17 @@ def unprocessed_files(spark: SparkSession, lake: Lake) -> DataFrame:
 
 def read_payer_files(spark: SparkSession, payer: str, paths: list[str],
                      cfg: PipelineConfig = DEFAULT) -> DataFrame:
-    raw = (spark.read.option("header", True).option("mode", "PERMISSIVE").csv(paths)
-           .withColumn("source_file_path", F.col("_metadata.file_path")))
+    """All new files of one payer in one scan, every column a string.
+
+    The payer layout is the schema and ``enforceSchema=false`` makes Spark
+    check each file's header against it, so a file whose columns are
+    reordered fails loudly instead of being mapped by position.
+    """
     wire = S.wire_columns(payer)
-    for c in wire:  # a feed that lacks a column yields NULLs, not a failure
-        if c not in raw.columns:
-            raw = raw.withColumn(c, F.lit(None).cast("string"))
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in wire])
+    raw = (spark.read.schema(schema).option("header", True).option("enforceSchema", False)
+           .option("mode", "PERMISSIVE").csv(paths)
+           .withColumn("source_file_path", F.col("_metadata.file_path")))
     raw = raw.withColumn("raw_record", F.to_json(F.struct(*[F.col(c) for c in wire])))
     return S.to_canonical(raw.select(*wire, "source_file_path", "raw_record"), payer, cfg)
 
@@ -150,16 +156,25 @@ def run_silver(spark: SparkSession, lake: Lake, run_id: str, run_ts: _dt.datetim
         parts = [read_payer_files(spark, p, paths, cfg) for p, paths in by_payer.items()
                  if S.known_payer(p)]
         known_files = todo.filter(F.col("payer_name").isin([p for p in by_payer if S.known_payer(p)]))
+        error = None
         if parts:
             canonical = parts[0]
             for p in parts[1:]:
                 canonical = canonical.unionByName(p)
-            process_batch(spark, lake, canonical, known_files, run_id, run_ts, cfg)
+            try:
+                process_batch(spark, lake, canonical, known_files, run_id, run_ts, cfg)
+            except Exception as exc:  # noqa: BLE001 - logged per file, like the original
+                # Nothing of this run is visible (no completed log rows); record
+                # the failure per file so the files are retried by the next run.
+                head = " ".join(str(exc).strip().splitlines()[:2])
+                error = f"{type(exc).__name__}: {head[:500]}"
+                failed = log_events(known_files, run_id, "failed", run_ts, error=error)
+                upsert.overwrite_partitions(failed, lake.log, LOG_PARTITIONS)
         if unknown:
             failed_files = todo.filter(F.col("payer_name").isin(unknown) | F.col("payer_name").isNull())
             failed = log_events(failed_files, run_id + "-unknown", "failed", run_ts,
                                 error="Unknown payer")
             upsert.overwrite_partitions(failed, lake.log, LOG_PARTITIONS)
-        return {"run_id": run_id, "files": len(pending), "unknown_payers": unknown}
+        return {"run_id": run_id, "files": len(pending), "unknown_payers": unknown, "error": error}
     finally:
         todo.unpersist()

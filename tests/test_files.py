@@ -130,3 +130,17 @@ def test_vanished_month_is_dropped_from_gold(spark, lake):
     left = {r.year_month for r in spark.read.parquet(lake.monthly).select("year_month").distinct().collect()}
     assert not any(m.startswith("1997") for m in left)
     assert report.filter(~F.col("passed")).count() == 0
+
+
+def test_reordered_header_fails_instead_of_mismapping(spark, lake):
+    cols = S.wire_columns("payer_c")
+    write_csv(f"{lake.raw}/provider=payer_c/year=2001/month=1/batch=0", list(reversed(cols)),
+              [["x"] * len(cols)])
+    bronze.register_new_files(spark, lake, TS1)
+    out = silver.run_silver(spark, lake, "run-h", TS1)
+    assert out["error"] and "data.csv" in out["error"]
+    assert read_silver(spark, lake).count() == 0
+    log = silver.latest_by_file(read_log(spark, lake)).first()
+    assert log.status == "failed"
+    # still unprocessed, so the next run retries it
+    assert silver.unprocessed_files(spark, lake).count() == 1
