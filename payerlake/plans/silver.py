@@ -111,6 +111,11 @@ def log_events(files: DataFrame, run_id: str, status: str, ts: _dt.datetime,
         *vals, F.lit(error).cast("string").alias("error_message"), F.lit(run_id).alias("run_id"))
 
 
+def commit_log(lake: Lake, events: DataFrame) -> None:
+    """The commit point of a run: its log partition with the completed rows."""
+    upsert.overwrite_partitions(events, lake.log, LOG_PARTITIONS)
+
+
 def process_batch(spark: SparkSession, lake: Lake, canonical: DataFrame, files: DataFrame,
                   run_id: str, run_ts: _dt.datetime, cfg: PipelineConfig = DEFAULT) -> dict:
     """Validate one batch of canonical rows and publish it (shared by batch and stream)."""
@@ -119,6 +124,9 @@ def process_batch(spark: SparkSession, lake: Lake, canonical: DataFrame, files:
               .withColumn("processing_date", F.lit(cfg.as_of))
               .withColumn("run_id", F.lit(run_id))
               .withColumn("claim_month", F.date_format("claim_date", "yyyy-MM")))
+    # 'running' events first: an in-flight (or crashed) run is visible in the log.
+    started = log_events(files, run_id, "running", run_ts)
+    upsert.overwrite_partitions(started, lake.log, LOG_PARTITIONS)
     flagged = validate.with_reasons(staged, cfg).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         good = validate.accepted(flagged).select(*schemas.SILVER_CLAIMS.fieldNames())
@@ -133,8 +141,7 @@ def process_batch(spark: SparkSession, lake: Lake, canonical: DataFrame, files:
                        F.count_if(F.size("rejection_reasons") == 0).alias("records_accepted"),
                        F.count_if(F.size("rejection_reasons") > 0).alias("records_quarantined")))
         done = log_events(files, run_id, "completed", run_ts, counts)
-        started = log_events(files, run_id, "running", run_ts)
-        upsert.overwrite_partitions(started.unionByName(done), lake.log, LOG_PARTITIONS)
+        commit_log(lake, started.unionByName(done))
     finally:
         flagged.unpersist()
     return {"run_id": run_id}

@@ -76,17 +76,22 @@ def test_crash_before_log_is_invisible_and_retry_replaces(spark, lake, monkeypat
     claims = claims_table(spark, SF_SMALL)
     FS.write_feeds(claims.filter(F.col("payer_name") == "payer_c"), lake.raw, DEFAULT)
     bronze.register_new_files(spark, lake, TS1)
-    real = silver.log_events
+    real_commit, real_events = silver.commit_log, silver.log_events
 
     def boom(*a, **k):
         raise RuntimeError("driver lost")
-    monkeypatch.setattr(silver, "log_events", boom)
+    # the driver dies at the commit point, and also while logging the failure
+    monkeypatch.setattr(silver, "commit_log", boom)
+    monkeypatch.setattr(silver, "log_events",
+                        lambda *a, **k: boom() if a[2] == "failed" else real_events(*a, **k))
     with pytest.raises(RuntimeError):
         silver.run_silver(spark, lake, "run-1", TS1)
-    # data partitions were written, but the run never committed
+    # data partitions were written, the log says running, but nothing is visible
     assert spark.read.parquet(lake.silver_claims).count() > 0
     assert read_silver(spark, lake).count() == 0
-    monkeypatch.setattr(silver, "log_events", real)
+    assert {r.status for r in read_log(spark, lake).select("status").distinct().collect()} == {"running"}
+    monkeypatch.setattr(silver, "commit_log", real_commit)
+    monkeypatch.setattr(silver, "log_events", real_events)
     silver.run_silver(spark, lake, "run-1", TS1)   # retry with the same run id
     n = claims.filter(F.col("payer_name") == "payer_c").count()
     assert read_silver(spark, lake).count() + read_quarantine(spark, lake).count() == n
