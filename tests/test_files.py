@@ -149,3 +149,36 @@ def test_reordered_header_fails_instead_of_mismapping(spark, lake):
     assert log.status == "failed"
     # still unprocessed, so the next run retries it
     assert silver.unprocessed_files(spark, lake).count() == 1
+
+
+def test_malformed_wire_values_end_to_end(spark, lake):
+    """A feed-C file with broken values: nothing throws, bad rows are
+    quarantined with the right reasons and keep their raw wire record."""
+    cols = S.wire_columns("payer_c")
+    good = dict(CLAIM_ID="c-ok", SUBSCRIBER_ID="PAT1", RENDERING_PROVIDER_NPI="7", RECEIVED_DT="20010301",
+                SVC_FROM_DT="20010225", SVC_TO_DT="20010226", DIAG_CD=" e11.9 ", PROC_CD=" 99213 ",
+                BILLED_AMT="100.00", ALLOWED_AMT="80.00", PAID_AMT="76.00", CLM_STATUS="paid",
+                CLM_TYPE="Outpatient")
+    rows = [good,
+            dict(good, CLAIM_ID="c-date", RECEIVED_DT="20011301"),        # month 13
+            dict(good, CLAIM_ID="c-junk", BILLED_AMT="abc"),
+            dict(good, CLAIM_ID="c-huge", BILLED_AMT="123456789012.5"),    # overflows decimal(10,2)
+            dict(good, CLAIM_ID="c-empty", PROC_CD=""),
+            dict(good, CLAIM_ID="c-status", CLM_STATUS="")]                # empty → NULL status
+    write_csv(f"{lake.raw}/provider=payer_c/year=2001/month=3/batch=0", cols,
+              [[r[c] for c in cols] for r in rows])
+    bronze.register_new_files(spark, lake, TS1)
+    out = silver.run_silver(spark, lake, "run-m", TS1)
+    assert out["error"] is None
+    ok = {r.claim_id: r for r in read_silver(spark, lake).collect()}
+    assert set(ok) == {"c-ok"}
+    assert ok["c-ok"].diagnosis_code == "E11.9" and ok["c-ok"].procedure_code == "99213"
+    assert ok["c-ok"].claim_status == "Approved"
+    q = {r.claim_id: r for r in read_quarantine(spark, lake).collect()}
+    assert q["c-date"].rejection_reasons == ["REQUIRED_FIELD_NULL: claim_date"]
+    assert q["c-junk"].rejection_reasons[0] == "REQUIRED_FIELD_NULL: billed_amount"
+    assert q["c-huge"].rejection_reasons[0] == "REQUIRED_FIELD_NULL: billed_amount"
+    assert q["c-empty"].rejection_reasons == ["REQUIRED_FIELD_NULL: procedure_code"]
+    assert q["c-status"].rejection_reasons == ["REQUIRED_FIELD_NULL: claim_status"]
+    assert '"BILLED_AMT":"abc"' in q["c-junk"].raw_record           # the original value survives
+    assert '"RECEIVED_DT":"20011301"' in q["c-date"].raw_record
