@@ -149,39 +149,38 @@ def process_batch(spark: SparkSession, lake: Lake, canonical: DataFrame, files:
 
 def run_silver(spark: SparkSession, lake: Lake, run_id: str, run_ts: _dt.datetime,
                cfg: PipelineConfig = DEFAULT) -> dict:
-    todo = unprocessed_files(spark, lake).select("file_path", "payer_name").persist()
-    try:
-        # One (path, payer) string pair per file reaches the driver: the CSV
-        # reader needs the file list (Spark lists files on the driver anyway).
-        pending = todo.collect()
-        if not pending:
-            return {"run_id": run_id, "files": 0}
-        by_payer: dict[str, list[str]] = {}
-        for r in pending:
-            by_payer.setdefault(r.payer_name, []).append(r.file_path)
-        unknown = [p for p in by_payer if not S.known_payer(p)]
-        parts = [read_payer_files(spark, p, paths, cfg) for p, paths in by_payer.items()
-                 if S.known_payer(p)]
-        known_files = todo.filter(F.col("payer_name").isin([p for p in by_payer if S.known_payer(p)]))
-        error = None
-        if parts:
-            canonical = parts[0]
-            for p in parts[1:]:
-                canonical = canonical.unionByName(p)
-            try:
-                process_batch(spark, lake, canonical, known_files, run_id, run_ts, cfg)
-            except Exception as exc:  # noqa: BLE001 - logged per file, like the original
-                # Nothing of this run is visible (no completed log rows); record
-                # the failure per file so the files are retried by the next run.
-                head = " ".join(str(exc).strip().splitlines()[:2])
-                error = f"{type(exc).__name__}: {head[:500]}"
-                failed = log_events(known_files, run_id, "failed", run_ts, error=error)
-                upsert.overwrite_partitions(failed, lake.log, LOG_PARTITIONS)
-        if unknown:
-            failed_files = todo.filter(F.col("payer_name").isin(unknown) | F.col("payer_name").isNull())
-            failed = log_events(failed_files, run_id + "-unknown", "failed", run_ts,
-                                error="Unknown payer")
+    # One (path, payer) string pair per file reaches the driver: the CSV reader
+    # needs the file list (Spark lists files on the driver anyway).
+    pending = unprocessed_files(spark, lake).select("file_path", "payer_name").collect()
+    if not pending:
+        return {"run_id": run_id, "files": 0}
+    # The file list as a small local DataFrame: it must not be recomputed from
+    # the log while this run overwrites its own log partition.
+    todo = spark.createDataFrame([(r.file_path, r.payer_name) for r in pending],
+                                 "file_path string, payer_name string")
+    by_payer: dict[str, list[str]] = {}
+    for r in pending:
+        by_payer.setdefault(r.payer_name, []).append(r.file_path)
+    known = [p for p in by_payer if S.known_payer(p)]
+    unknown = [p for p in by_payer if not S.known_payer(p)]
+    parts = [read_payer_files(spark, p, by_payer[p], cfg) for p in known]
+    known_files = todo.filter(F.col("payer_name").isin(known))
+    error = None
+    if parts:
+        canonical = parts[0]
+        for p in parts[1:]:
+            canonical = canonical.unionByName(p)
+        try:
+            process_batch(spark, lake, canonical, known_files, run_id, run_ts, cfg)
+        except Exception as exc:  # noqa: BLE001 - logged per file, like the original
+            # Nothing of this run is visible (no completed log rows); record
+            # the failure per file so the files are retried by the next run.
+            head = " ".join(str(exc).strip().splitlines()[:2])
+            error = f"{type(exc).__name__}: {head[:500]}"
+            failed = log_events(known_files, run_id, "failed", run_ts, error=error)
             upsert.overwrite_partitions(failed, lake.log, LOG_PARTITIONS)
-        return {"run_id": run_id, "files": len(pending), "unknown_payers": unknown, "error": error}
-    finally:
-        todo.unpersist()
+    if unknown:
+        failed_files = todo.filter(~F.col("payer_name").isin(known) | F.col("payer_name").isNull())
+        failed = log_events(failed_files, run_id + "-unknown", "failed", run_ts, error="Unknown payer")
+        upsert.overwrite_partitions(failed, lake.log, LOG_PARTITIONS)
+    return {"run_id": run_id, "files": len(pending), "unknown_payers": unknown, "error": error}
