@@ -88,3 +88,35 @@ def op4_token_counts(spark, sf_dir):
     from .token_counts import count_tokens
     docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
     return count_tokens(docs, public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query("op5_near_dedup")
+def op5_near_dedup(spark, sf_dir):
+    from .near_dedup import near_duplicates
+    return near_duplicates(read_table(spark, sf_dir, "documents", ["doc_id", "text"]))
+
+
+LINE_SQL = """
+WITH lines AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+         generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos
+  FROM documents),
+keyed AS (
+  SELECT *, translate(trim(line, concat(' ', chr(9), chr(10), chr(11), chr(12), chr(13))),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k
+  FROM lines),
+common AS (
+  SELECT k, max(doc_id) AS last FROM keyed WHERE length(k) >= 40 GROUP BY k HAVING count(DISTINCT doc_id) >= 5),
+judged AS (
+  SELECT doc_id, line, pos, coalesce(doc_id <> last, false) AS dropped FROM keyed LEFT JOIN common USING (k))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE dropped) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT dropped), '')) AS kept_sha256
+FROM judged GROUP BY doc_id
+"""
+
+
+@query("op7_line_dedup", LINE_SQL)
+def op7_line_dedup(spark, sf_dir):
+    from .line_dedup import drop_lines
+    kept = drop_lines(read_table(spark, sf_dir, "documents", ["doc_id", "text"]))
+    return kept.select("doc_id", "n_lines", "n_dropped", _hex_sha256(F.col("text")).alias("kept_sha256"))
