@@ -120,3 +120,10 @@ def op7_line_dedup(spark, sf_dir):
     from .line_dedup import drop_lines
     kept = drop_lines(read_table(spark, sf_dir, "documents", ["doc_id", "text"]))
     return kept.select("doc_id", "n_lines", "n_dropped", _hex_sha256(F.col("text")).alias("kept_sha256"))
+
+
+@query("op3_decontaminate")
+def op3_decontaminate(spark, sf_dir):
+    from .decontaminate import find_leaks
+    return find_leaks(read_table(spark, sf_dir, "documents", ["doc_id", "text"]),
+                      read_table(spark, sf_dir, "benchmark", ["item_id", "text"]))
