@@ -127,3 +127,18 @@ def op3_decontaminate(spark, sf_dir):
     from .decontaminate import find_leaks
     return find_leaks(read_table(spark, sf_dir, "documents", ["doc_id", "text"]),
                       read_table(spark, sf_dir, "benchmark", ["item_id", "text"]))
+
+
+def _remainder(key: str, by: int):
+    """crc32 of the key as text, mod by; null keys have none."""
+    return F.pmod(F.crc32(F.col(key).cast("string").cast("binary")), F.lit(by))
+
+
+@query("op8_language_id")
+def op8_language_id(spark, sf_dir):
+    from .language_id import fit, identify
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text", "lang"])
+    held_out = F.coalesce(_remainder("doc_id", 4) == 2, F.lit(False))
+    net = fit(docs.filter(~held_out), "doc_id", "text", "lang")
+    return (identify(docs, net, carry=held_out)
+            .select("doc_id", F.col("carried").alias("held_out"), "lang_pred", "score"))
