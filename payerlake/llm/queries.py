@@ -142,3 +142,13 @@ def op8_language_id(spark, sf_dir):
     net = fit(docs.filter(~held_out), "doc_id", "text", "lang")
     return (identify(docs, net, carry=held_out)
             .select("doc_id", F.col("carried").alias("held_out"), "lang_pred", "score"))
+
+
+@query("op10_toxicity")
+def op10_toxicity(spark, sf_dir):
+    from .toxicity import learn, score_texts
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    held_out = F.coalesce(_remainder("doc_id", 3) == 1, F.lit(False))
+    labels = read_table(spark, sf_dir, "labels", ["doc_id", "toxic"]).filter(~held_out)
+    return (score_texts(docs, learn(docs, labels), carry=held_out)
+            .select("doc_id", F.col("carried").alias("held_out"), "score", "predicted"))
