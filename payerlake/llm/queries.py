@@ -152,3 +152,9 @@ def op10_toxicity(spark, sf_dir):
     labels = read_table(spark, sf_dir, "labels", ["doc_id", "toxic"]).filter(~held_out)
     return (score_texts(docs, learn(docs, labels), carry=held_out)
             .select("doc_id", F.col("carried").alias("held_out"), "score", "predicted"))
+
+
+@query("op9_quality_rules")
+def op9_quality_rules(spark, sf_dir):
+    from .quality import judge
+    return judge(read_table(spark, sf_dir, "documents", ["doc_id", "text", "lang"]))
