@@ -158,3 +158,16 @@ def op10_toxicity(spark, sf_dir):
 def op9_quality_rules(spark, sf_dir):
     from .quality import judge
     return judge(read_table(spark, sf_dir, "documents", ["doc_id", "text", "lang"]))
+
+
+@query("op6_secret_scan")
+def op6_secret_scan(spark, sf_dir):
+    from .secrets import KINDS, find_secrets, listed
+    found = find_secrets(read_table(spark, sf_dir, "documents", ["doc_id", "text", "source"]))
+    base = F.filter("findings", lambda f: f["rank"] < len(KINDS))
+
+    def count(kind: str):
+        return F.size(F.filter("findings", lambda f: f["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select("doc_id", *map(count, KINDS), _hex_sha256(listed(base)).alias("base_sha256"),
+                        listed(F.col("findings")).alias("spans"))
