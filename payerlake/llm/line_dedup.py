@@ -144,13 +144,8 @@ def keep_bitmaps(docs: DataFrame, key: str = "doc_id", text: str = "text", min_c
                     bitmap("dropped", "n_lines").alias("keep")))
 
 
-def drop_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", min_chars: int = 40,
-               min_docs: int = 5) -> DataFrame:
-    """key, n_lines (before dropping), n_dropped and text (the lines kept, joined by line breaks).
-
-    Null or empty texts have one empty line and stay empty. Other columns are not read, whatever
-    their names; repeated rows stay repeated and lose the same lines.
-    """
+def _cut_lines(docs: DataFrame, key: str, text: str, min_chars: int, min_docs: int) -> DataFrame:
+    """row (a struct of all columns but the text), n_lines, n_dropped and text (null where it was)."""
     maps = keep_bitmaps(docs, key, text, min_chars, min_docs)
 
     @F.pandas_udf("string")
@@ -165,11 +160,37 @@ def drop_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", min_cha
             out.append("\n".join(line for line, kept in zip(lines, keep, strict=True) if kept))
         return pd.Series(out)
 
-    rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(key).cast("long"), F.lit(NO_ID)).alias("id"),
-                       fingerprint(text).alias("fp"), text_or_empty(text).alias("text"))
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns if c != text))
+    rows = docs.select(row.alias("row"), F.coalesce(F.col(key).cast("long"), F.lit(NO_ID)).alias("id"),
+                       fingerprint(text).alias("fp"), F.col(text).alias("text"))
     joined = rows.join(maps, ["id", "fp"], "left")
     touched = F.when(F.col("keep").isNotNull(), F.col("text"))  # other texts do not travel to Python
-    return joined.select(F.col("key").alias(key),
-                         F.size(F.split("text", "\n")).cast("long").alias("n_lines"),
+    return joined.select("row", F.size(F.split(text_or_empty("text"), "\n")).cast("long").alias("n_lines"),
                          F.coalesce("n_dropped", F.lit(0)).cast("long").alias("n_dropped"),
                          F.coalesce(cut(touched, "keep"), "text").alias("text"))
+
+
+def drop_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", min_chars: int = 40,
+               min_docs: int = 5) -> DataFrame:
+    """key, n_lines (before dropping), n_dropped and text (the lines kept, joined by line breaks).
+
+    Null or empty texts have one empty line and give an empty text. Other columns are not read,
+    whatever their names; repeated rows stay repeated and lose the same lines.
+    """
+    cut = _cut_lines(docs.select(key, text), key, text, min_chars, min_docs)
+    return cut.select("row.*", "n_lines", "n_dropped", F.coalesce("text", F.lit("")).alias("text"))
+
+
+def without_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", size: str = "n_chars",
+                  min_chars: int = 40, min_docs: int = 5) -> DataFrame:
+    """``docs``, all columns, with the lines dropped and ``size``, if it is there, counted anew.
+
+    A document that loses all its lines stays, with an empty text; a null text stays null.
+    """
+    cut = _cut_lines(docs, key, text, min_chars, min_docs)
+    columns = {c: F.col("text") if c == text else F.col(f"row.`{c}`") for c in docs.columns}
+    if size in columns:
+        # Where nothing was dropped the given count stays.
+        columns[size] = F.when(F.col("n_dropped") > 0, F.length("text")).otherwise(columns[size]) \
+            .cast(docs.schema[size].dataType)
+    return cut.select(*(c.alias(n) for n, c in columns.items()))

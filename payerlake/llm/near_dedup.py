@@ -321,3 +321,10 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     component = F.when(F.col("id").isNotNull(), F.coalesce("component", "id"))
     return out.select(F.col("id").alias(key), F.col("n").alias("n_shingles"), component.alias("component_id"),
                       F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"))
+
+
+def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5,
+             percent: int = 85) -> DataFrame:
+    """``docs``, all columns, with the smallest key's document of each component; null keys stay."""
+    gone = near_duplicates(docs.select(key, text), key, text, width, percent).filter("NOT kept").select(key).distinct()
+    return docs.join(gone, key, "left_anti").select(*(f"`{c}`" for c in docs.columns))

@@ -88,14 +88,15 @@ def _histogram(words: Column) -> Column:
     return _let(F.array_sort(F.filter(plain, lambda w: w.isin(LISTED))), counts)
 
 
-def measures(docs: DataFrame, key: str, text: str, language: str) -> DataFrame:
-    """The base counts and both histograms of every row."""
+def measures(docs: DataFrame, key: str, text: str, language: str, whole: bool) -> DataFrame:
+    """The base counts and both histograms of every row, and the row itself if ``whole``."""
     t = text_or_empty(text)
-    rows = docs.select(F.col(key).alias("key"), F.col(language).alias("language"), t.alias("text"),
+    row = F.struct(*(F.col(f"`{c}`") for c in (docs.columns if whole else [key])))
+    rows = docs.select(F.col(key).alias("key"), F.col(language).alias("language"), row.alias("row"), t.alias("text"),
                        F.array_remove(F.split(t, SPLIT), "").alias("words"),
                        F.filter(F.split(t, "\n"), lambda x: F.length(F.btrim(x, F.lit(WHITE))) > 0).alias("lines"))
     rows = rows.select(
-        "key", "language", "text", F.size("words").cast("long").alias("n_words"),
+        "key", "language", "row", "text", F.size("words").cast("long").alias("n_words"),
         F.length(F.translate("text", WHITE, "")).cast("long").alias("word_chars"),
         (F.length("text") - F.length(F.translate("text", "#*$%&|<>", ""))).cast("long").alias("n_symbols"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
@@ -156,15 +157,17 @@ def word_distance(common: Column, share: dict[str, float]) -> Column:
     return F.when(total > 0, _distance(F.aggregate(bins, F.lit(math.fsum(share.values())), lambda s, x: s + x)))
 
 
-def judge(docs: DataFrame, key: str = "doc_id", text: str = "text", language: str = "lang") -> DataFrame:
+def judge(docs: DataFrame, key: str = "doc_id", text: str = "text", language: str = "lang",
+          whole: bool = False) -> DataFrame:
     """key, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, class_distance
-    and word_distance (to the nearest language; null without a reference or a text), kept.
+    and word_distance (to the nearest language; null without a reference or a text), kept. With
+    ``whole`` also row, a struct of all columns.
 
     Null and empty texts have no words and fail the base rules. Languages only serve to sum up the
     references; rows of other or null languages are judged like all. Other columns are not read,
     whatever their names; repeated rows stay repeated; an empty table gives an empty one.
     """
-    measured = store(measures(docs, key, text, language), "quality")
+    measured = store(measures(docs, key, text, language, whole), "quality")
     known = references(measured)
     chars = F.aggregate("classes", F.lit(0).cast("long"), lambda s, x: s + x)
     listed = F.aggregate("common.counts", F.lit(0).cast("long"), lambda s, x: s + x)
@@ -181,4 +184,10 @@ def judge(docs: DataFrame, key: str = "doc_id", text: str = "text", language: st
            | ((listed >= MIN_COMMON) & (F.col("word_distance") > WORD_LIMIT)))
     return rows.select(F.col("key").alias(key), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                        "base_failed", "class_distance", "word_distance",
-                       (~F.col("base_failed") & ~F.coalesce(far, F.lit(False))).alias("kept"))
+                       (~F.col("base_failed") & ~F.coalesce(far, F.lit(False))).alias("kept"),
+                       *(["row"] if whole else []))
+
+
+def keep_good(docs: DataFrame, key: str = "doc_id", text: str = "text", language: str = "lang") -> DataFrame:
+    """The rows that the rules keep, with all their columns."""
+    return judge(docs, key, text, language, whole=True).filter("kept").select("row.*")
