@@ -1,7 +1,12 @@
 """Command-line driver for the jobs (one step or the whole pipeline).
 
     spark-submit payerlake/cli.py --root <lake folder> pipeline
-    python -m payerlake.cli --root <lake folder> bronze|silver|gold|gate|verify|tables|drop --confirm
+    python -m payerlake.cli --root <lake folder> bronze|silver|stream|gold|gate|report|verify|tables
+    python -m payerlake.cli --root <lake folder> --confirm drop
+
+``report`` writes every summary report of the lake as JSON lines below
+``<root>/reports/<name>`` and prints their row counts.  A step whose files
+failed, or whose gate is not passed, exits with 1.
 
 The lake root must be on the shared filesystem of the cluster; raw payer
 files are expected under ``<root>/raw/provider=<payer>/year=YYYY/month=M/...``.
@@ -15,9 +20,9 @@ import json
 import sys
 import uuid
 
-from .config import PipelineConfig
+from .config import DEFAULT, PipelineConfig
 from .operators import incremental, quality
-from .plans import bronze, gold, pipeline, silver
+from .plans import bronze, gold, pipeline, reporting, silver
 from .session import build_session
 from .sources import lake as L
 
@@ -28,13 +33,21 @@ def main(argv=None) -> int:
     ap.add_argument("--master", default=None)
     ap.add_argument("--as-of", default=dt.date.today().isoformat())
     ap.add_argument("--lookback-days", type=int, default=365)
-    ap.add_argument("--threshold", type=float, default=10.0)
+    ap.add_argument("--threshold", type=float, default=DEFAULT.quarantine_threshold_pct)
+    ap.add_argument("--min-claim-date", default=DEFAULT.min_claim_date.isoformat())
+    ap.add_argument("--late-days", type=int, default=DEFAULT.late_days)
+    ap.add_argument("--top-codes", type=int, default=DEFAULT.top_codes)
+    ap.add_argument("--null-status-as-review", action="store_true")
+    ap.add_argument("--max-files", type=int, default=1000, help="files of one micro-batch")
     ap.add_argument("--run-id", default=None)
     ap.add_argument("--confirm", action="store_true")
-    ap.add_argument("step", choices=["pipeline", "bronze", "silver", "gold", "gate", "verify", "tables", "drop"])
+    ap.add_argument("step", choices=["pipeline", "bronze", "silver", "stream", "gold", "gate", "report",
+                                     "verify", "tables", "drop"])
     a = ap.parse_args(argv)
     cfg = PipelineConfig(as_of=dt.date.fromisoformat(a.as_of), lookback_days=a.lookback_days,
-                         quarantine_threshold_pct=a.threshold)
+                         quarantine_threshold_pct=a.threshold, top_codes=a.top_codes, late_days=a.late_days,
+                         min_claim_date=dt.date.fromisoformat(a.min_claim_date),
+                         null_status_as_review=a.null_status_as_review)
     spark = build_session(a.master)
     lake = L.Lake(a.root.rstrip("/"))
     now = dt.datetime.now().replace(microsecond=0)
@@ -43,10 +56,19 @@ def main(argv=None) -> int:
     if a.step == "pipeline":
         out = pipeline.run_pipeline(spark, lake, run_id, now, cfg, enforce_gate=True)
         print(json.dumps(out, default=str))
+        code = int(out["silver"]["failed"] > 0)
     elif a.step == "bronze":
         print(bronze.register_new_files(spark, lake, now).count(), "files registered")
     elif a.step == "silver":
-        print(json.dumps(silver.run_silver(spark, lake, run_id, now, cfg), default=str))
+        out = silver.run_silver(spark, lake, run_id, now, cfg)
+        print(json.dumps(out, default=str))
+        code = int(out["failed"] > 0)
+    elif a.step == "stream":
+        from .streaming.ingest import run_ingest
+        run_ingest(spark, lake, now, cfg, a.max_files)
+        print("landing folder consumed")
+    elif a.step == "report":
+        print(json.dumps(reporting.write_reports(spark, lake, cfg)))
     elif a.step == "gold":
         report = gold.run_gold(spark, lake, now, cfg)
         incremental.enforce_reconciliation(report)
@@ -57,6 +79,7 @@ def main(argv=None) -> int:
         code = 0 if g.passed else 1
     elif a.step == "verify":
         L.list_tables(spark, lake).show(truncate=False)
+        L.table_counts(spark, lake).show(truncate=False)
     elif a.step == "tables":
         print(L.ensure_tables(spark, lake))
     elif a.step == "drop":

@@ -6,8 +6,8 @@ All are DataFrame plans over silver or gold:
   aggregate taking the max of a struct ordered by recency then by every
   other column (deterministic, and a hot claim id is combined map-side
   instead of being gathered into one window partition).
-* ``claims_by_term`` – glossary term → ICD-10 category, an equi-join on the
-  3-character category with the glossary broadcast (its size is fixed).
+* ``claims_by_term`` – glossary term → ICD-10 code of any length, an equi-join
+  on the code's prefixes of the lengths that the glossary has.
 * ``high_cost_*`` – threshold filter, top-k report and per-payer totals.
 * ``avg_by_payer_quarter`` – calendar-quarter averages.
 * ``approval_change`` / ``approval_anomalies`` / ``payer_rank`` – windows
@@ -56,8 +56,13 @@ def glossary_df(spark: SparkSession) -> DataFrame:
 
 
 def claims_by_term(silver: DataFrame, glossary: DataFrame) -> DataFrame:
-    cat = silver.withColumn("icd10_category", F.substring("diagnosis_code", 1, 3))
-    j = cat.join(F.broadcast(glossary), "icd10_category")
+    """Claims whose diagnosis starts with a term's code; a term may have several codes."""
+    # Codes have a handful of lengths, whatever the number of terms.
+    sizes = [r.n for r in glossary.select(F.length("icd10_category").alias("n")).distinct().orderBy("n").collect() if r.n]
+    code = F.col("diagnosis_code")
+    prefixes = F.array_compact(F.array(*(F.when(F.length(code) >= n, F.substring(code, 1, n)) for n in sizes))) \
+        if sizes else F.array().cast("array<string>")
+    j = silver.select("*", F.explode(prefixes).alias("icd10_category")).join(glossary, "icd10_category")
     return j.groupBy("term", "icd10_category", "payer_name").agg(
         F.count(F.lit(1)).alias("total_claims"),
         F.count_if(M.is_approved()).alias("claims_approved"),

@@ -38,7 +38,7 @@ def monthly_summary(silver: DataFrame) -> DataFrame:
                  M.dsum("paid_amount").alias("total_paid_amount"),
                  M.avg2("billed_amount").alias("avg_billed_per_claim"),
                  M.avg2("paid_amount").alias("avg_paid_per_claim"),
-                 F.round(F.avg(M.reimbursement_ratio(False)), 2).cast(M.RATE_T)
+                 F.round(F.avg(M.reimbursement_ratio(False)), 2).try_cast(M.RATE_T)
                   .alias("avg_reimbursement_rate"),
                  M.dsum(F.col("billed_amount") - F.coalesce("paid_amount", F.lit(0)))
                   .alias("total_write_off"),
@@ -65,7 +65,7 @@ def approval_funnel(silver: DataFrame) -> DataFrame:
                  M.dsum(F.when(M.is_denied(), billed).otherwise(F.lit(0))).alias("denied_amount"),
                  F.round(F.avg(F.datediff("processing_date", "claim_date")), 1).cast(M.DAYS_T)
                   .alias("avg_processing_days"),
-                 F.round(F.avg(M.reimbursement_ratio(True)), 2).cast(M.RATE_T)
+                 F.round(F.avg(M.reimbursement_ratio(True)), 2).try_cast(M.RATE_T)
                   .alias("avg_reimbursement_rate_approved")))
 
 

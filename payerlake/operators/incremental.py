@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..config import DEFAULT, PipelineConfig
 from ..functions import metrics as M
+from ..session import store
 from . import gold
 
 
@@ -80,13 +81,19 @@ def reconcile_monthly(monthly: DataFrame, silver: DataFrame, tolerance: str = "0
         (rows_ok & (F.abs(diff) <= F.lit(tolerance).cast("decimal(10,2)"))).alias("passed"))
 
 
+def empty_report(spark) -> DataFrame:
+    """The reconciliation report of a lake without claims."""
+    return spark.createDataFrame([], "year_month string, gold_rows bigint, silver_payers bigint, gold_billed decimal(18,2), "
+                                     "silver_billed decimal(18,2), billed_difference decimal(18,2), passed boolean")
+
+
 class ReconciliationFailed(RuntimeError):
     pass
 
 
 def enforce_reconciliation(report: DataFrame) -> None:
-    """Raise when any month failed (only the failing months reach the driver)."""
-    bad = report.filter(~F.col("passed")).select("year_month").limit(20).collect()
-    if bad:
-        raise ReconciliationFailed("months failing reconciliation: "
-                                   + ", ".join(r.year_month for r in bad))
+    """Raise when any month failed, naming the whole report's table and the number of months."""
+    report = store(report, "reconciliation")
+    failing = report.filter(~F.col("passed")).count()
+    if failing:
+        raise ReconciliationFailed(f"{failing} months fail reconciliation; report: {report.inputFiles()[0].rpartition('/')[0]}")

@@ -78,12 +78,14 @@ def rejection_by_payer(q: DataFrame) -> DataFrame:
 
 
 def quarantine_sample(q: DataFrame, k: int = 5) -> DataFrame:
-    return q.select("claim_id", "payer_name", "rejection_reasons").limit(k)
+    """The first rejected claims by id."""
+    return q.select("claim_id", "payer_name", "rejection_reasons").orderBy(
+        "claim_id", "payer_name", F.array_join("rejection_reasons", "|")).limit(k)
 
 
 # ------------------------------------------------------------------ quality
 
-# Acceptance grades (lower bound in percent, label); below the last: "Poor".
+# Acceptance grades (lower bound in percent, label); below the last: "Poor".
 GRADES = [(95, "Excellent"), (90, "Good"), (80, "Fair")]
 POOR = "Poor"
 
@@ -124,7 +126,8 @@ def trend_by_month(m: DataFrame) -> DataFrame:
     return m.groupBy("year_month").agg(
         F.sum("total_claims").alias("total_claims"), M.dsum("total_billed_amount").alias("total_billed"),
         M.dsum("total_paid_amount").alias("total_paid"),
-        _avg_round("approval_rate", 2, M.RATE_T).alias("avg_approval_rate"))
+        _avg_round("approval_rate", 2, M.RATE_T).alias("avg_approval_rate"),
+        M.pct(F.sum("claims_approved"), F.sum("total_claims")).alias("approval_rate_weighted"))
 
 
 def payer_compare(m: DataFrame) -> DataFrame:
@@ -144,12 +147,17 @@ def months_by_approval(m: DataFrame, best: bool, k: int = 3) -> DataFrame:
             .orderBy(order, F.col("year_month").asc(), F.col("payer_name").asc()).limit(k))
 
 
+def _weighted() -> Column:
+    """Approval rate over all claims of the group, beside the average of its monthly rates."""
+    return M.pct(F.sum("approved_count"), F.sum("total_submitted")).alias("approval_rate_weighted")
+
+
 def funnel_by_payer_type(f: DataFrame) -> DataFrame:
     return f.groupBy("payer_name", "claim_type").agg(
         F.sum("total_submitted").alias("total_submitted"), F.sum("approved_count").alias("approved"),
         F.sum("denied_count").alias("denied"), F.sum("pending_count").alias("pending"),
         _avg_round("approval_rate", 2, M.RATE_T).alias("avg_approval_rate"),
-        _avg_round("denial_rate", 2, M.RATE_T).alias("avg_denial_rate"))
+        _avg_round("denial_rate", 2, M.RATE_T).alias("avg_denial_rate"), _weighted())
 
 
 def inpatient_vs_outpatient(f: DataFrame) -> DataFrame:
@@ -158,14 +166,14 @@ def inpatient_vs_outpatient(f: DataFrame) -> DataFrame:
         _avg_round("approval_rate", 2, M.RATE_T).alias("avg_approval_rate"),
         _avg_round("avg_processing_days", 1, M.DAYS_T).alias("avg_processing_days"),
         M.dsum("submitted_amount").alias("total_submitted_amount"),
-        M.dsum("approved_amount").alias("total_approved_amount"))
+        M.dsum("approved_amount").alias("total_approved_amount"), _weighted())
 
 
 def funnel_trend(f: DataFrame) -> DataFrame:
     return f.groupBy("year_month").agg(
         F.sum("total_submitted").alias("total_submitted"), F.sum("approved_count").alias("approved"),
         F.sum("denied_count").alias("denied"),
-        _avg_round("approval_rate", 2, M.RATE_T).alias("avg_approval_rate"))
+        _avg_round("approval_rate", 2, M.RATE_T).alias("avg_approval_rate"), _weighted())
 
 
 def processing_efficiency(f: DataFrame) -> DataFrame:
@@ -248,9 +256,9 @@ def log_by_payer(latest: DataFrame) -> DataFrame:
 
 
 def log_recent(latest: DataFrame, k: int = 10) -> DataFrame:
-    return (latest.select("processing_id", "payer_name", "status", "records_read", "records_accepted",
-                          "records_quarantined", "event_timestamp")
-            .orderBy(F.col("event_timestamp").desc(), F.col("processing_id")).limit(k))
+    return (latest.orderBy(F.col("event_timestamp").desc(), "payer_name", "bronze_file_path").limit(k)
+            .select("processing_id", "payer_name", "status", "records_read", "records_accepted",
+                    "records_quarantined", "event_timestamp"))
 
 
 def log_failed(latest: DataFrame) -> DataFrame:

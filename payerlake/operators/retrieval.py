@@ -1,90 +1,92 @@
 """Exact cosine top-k retrieval over an embedding table.
 
-Queries are few (one per label centroid, or per plan step) and the corpus
-is large, so the plan is: bring the bounded query matrix to every task as a
-literal (its size is checked first – at most ``MAX_QUERY_VALUES`` numbers),
-score each corpus row against all queries with built-in array functions,
-explode (query, score) pairs and keep the best k per query with
-``row_number() ≤ k``.  Spark evaluates that limit per task before the
-window's shuffle (WindowGroupLimit), so only k rows per query and task move.
-No corpus-by-corpus pairs are ever formed.  Larger query sets are scored in
-successive bounded chunks (each one a full pass, never an unbounded
-broadcast).
+Queries are few against a large corpus.  Every Arrow batch of corpus vectors
+is scored against all queries as one matrix product and leaves the task as
+its k best rows per query only; ``row_number() ≤ k`` over those rows picks
+the final ones.  No corpus-by-corpus pair and no corpus × query row is ever
+formed.  The query matrix is a Spark broadcast of at most ``BLOCK_VALUES``
+numbers; more queries than that are scored in successive blocks, by the same
+plan, so their number has no limit.
 
 Query vectors themselves are derived from the table: the centroid of each
-label (mean per dimension: a posexplode + grouped average, then re-assembled
-in dimension order).
+label, a vector mean in one aggregate (``pyspark.ml.stat.Summarizer``).
+
+A vector that is NULL, has a zero norm or another length than the query has
+no score and is not returned.
 """
 
 from __future__ import annotations
 
-import json
+from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pandas as pd
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_QUERY_VALUES = 1_000_000  # numbers shipped with the plan per chunk (~8 MB of doubles)
-
-
-def as_double_array(c: str) -> Column:
-    return F.transform(F.col(c), lambda x: x.cast("double"))
+BLOCK_VALUES = 1_000_000  # numbers of one broadcast query block (8 MB of doubles)
 
 
 def centroids(emb: DataFrame, key: str = "label", vec: str = "embedding") -> DataFrame:
-    """One mean vector per key value."""
-    exploded = emb.select(key, F.posexplode(vec).alias("pos", "x"))
-    per_dim = exploded.groupBy(key, "pos").agg(F.avg(F.col("x").cast("double")).alias("m"))
-    return (per_dim.groupBy(key)
-            .agg(F.sort_array(F.collect_list(F.struct("pos", "m"))).alias("_v"))
-            .select(F.col(key).alias("query_id"), F.col("_v.m").alias("query_vec")))
-
-
-def _norm(v: Column) -> Column:
-    return F.sqrt(F.aggregate(v, F.lit(0.0), lambda acc, x: acc + x * x))
-
-
-def _dot(a: Column, b: Column) -> Column:
-    return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda acc, x: acc + x)
-
-
-def _score_chunk(corpus: DataFrame, queries: list, id_col: str, vec: str, k: int) -> DataFrame:
-    # One JSON string literal, parsed once by constant folding (exact doubles).
-    payload = json.dumps([{"qid": qid, "qv": [float(x) for x in qv]} for qid, qv in queries])
-    qtype = "bigint" if all(isinstance(q[0], int) for q in queries) else "string"
-    qlit = F.from_json(F.lit(payload), f"array<struct<qid:{qtype},qv:array<double>>>")
-    # query norms once per query (folded into the literal), not once per row
-    qlit = F.transform(qlit, lambda q: F.struct(q["qid"].alias("qid"), q["qv"].alias("qv"),
-                                                _norm(q["qv"]).alias("qn")))
-    e = as_double_array(vec)
-    scored = (corpus.select(F.col(id_col).alias("item_id"), e.alias("_e"))
-              .select("item_id", "_e", _norm(F.col("_e")).alias("_en"))
-              .select("item_id", F.explode(F.transform(
-                  qlit, lambda q: F.struct(q["qid"].alias("query_id"),
-                                           (_dot(q["qv"], F.col("_e")) / (q["qn"] * F.col("_en")))
-                                           .alias("score")))).alias("s"))
-              .select("s.query_id", "item_id", "s.score"))
-    w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("item_id").asc())
-    return scored.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+    """One mean vector per key value, over its vectors that are not NULL or empty."""
+    rows = emb.filter(F.size(vec) > 0).select(key, array_to_vector(F.col(vec).cast("array<double>")).alias("v"))
+    return rows.groupBy(key).agg(Summarizer.mean(F.col("v")).alias("m")).select(
+        F.col(key).alias("query_id"), vector_to_array("m").alias("query_vec"))
+
+
+def _score_block(corpus: DataFrame, queries: list, id_col: str, vec: str, k: int) -> DataFrame:
+    """The k best rows per query of every Arrow batch."""
+    by_size: dict[int, tuple[list, np.ndarray]] = {}
+    for size in {len(q.query_vec) for q in queries}:
+        own = [q for q in queries if len(q.query_vec) == size]
+        matrix = np.array([q.query_vec for q in own], np.float64)
+        norm = np.sqrt((matrix * matrix).sum(axis=1, keepdims=True))
+        use = norm[:, 0] > 0
+        by_size[size] = ([q.query_id for q, u in zip(own, use, strict=True) if u], matrix[use] / norm[use])
+    blocks = corpus.sparkSession.sparkContext.broadcast(by_size)
+    kinds = dict(corpus.dtypes)
+
+    def best(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            sizes = batch["v"].map(lambda v: 0 if v is None else len(v)).to_numpy()
+            for size, (ids, matrix) in blocks.value.items():
+                part = batch[sizes == size]
+                if not len(part) or not ids:
+                    continue
+                x = np.stack(part["v"].to_numpy()).astype(np.float64)
+                norm = np.sqrt((x * x).sum(axis=1))
+                with np.errstate(invalid="ignore", divide="ignore"):
+                    scores = np.where(norm > 0, (matrix @ x.T) / norm, np.nan)
+                items = part["item_id"].to_numpy()
+                for q, row in zip(ids, scores, strict=True):
+                    ok = np.flatnonzero(np.isfinite(row))
+                    top = ok[np.lexsort((items[ok], -row[ok]))[:k]]
+                    yield pd.DataFrame({"query_id": [q] * len(top), "item_id": items[top], "score": row[top]})
+
+    qkind = "bigint" if all(isinstance(q.query_id, int) for q in queries) else "string"
+    return corpus.select(F.col(id_col).alias("item_id"), F.col(vec).alias("v")).mapInPandas(
+        best, f"query_id {qkind}, item_id {kinds[id_col]}, score double")
 
 
 def cosine_topk(corpus: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec_id",
                 vec: str = "embedding") -> DataFrame:
     """Top-k corpus items per query by cosine similarity (ties by item id)."""
-    dims = corpus.select(F.size(vec).alias("d")).first()
-    dims = dims.d if dims else 0
-    nq = queries.count()
-    per_chunk = max(1, MAX_QUERY_VALUES // max(dims, 1))
-    out = None
-    # Queries are bounded in number by the chunk size; only a chunk of them is
-    # held by the driver at a time.
-    for start in range(0, nq, per_chunk):
-        chunk = (queries.orderBy("query_id").offset(start).limit(per_chunk)
-                 .select("query_id", "query_vec").collect())
-        part = _score_chunk(corpus, [(r.query_id, r.query_vec) for r in chunk], id_col, vec, k)
+    out, block, values = None, [], 0
+    for q in queries.select("query_id", "query_vec").filter(F.size("query_vec") > 0).toLocalIterator():
+        block.append(q)
+        values += len(q.query_vec)
+        if values >= BLOCK_VALUES:
+            part = _score_block(corpus, block, id_col, vec, k)
+            out, block, values = part if out is None else out.unionByName(part), [], 0
+    if block:
+        part = _score_block(corpus, block, id_col, vec, k)
         out = part if out is None else out.unionByName(part)
     if out is None:
-        return corpus.sparkSession.createDataFrame([], "query_id int, item_id bigint, score double, rank int")
-    return out
+        return corpus.sparkSession.createDataFrame([], "query_id bigint, item_id bigint, score double, rank int")
+    w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("item_id").asc())
+    return out.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
 def rerank(hits: DataFrame, k: int = 5) -> DataFrame:

@@ -79,3 +79,16 @@ def drop_partitions(spark, values: list, path: str, col: str) -> list[str]:
             fs.delete(p, True)
             dropped.append(v)
     return dropped
+
+
+def drop_run(spark, path: str, run_id: str) -> None:
+    """Delete every ``run_id=<run_id>`` folder of a table partitioned by it last,
+    whatever the partitions above hold."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return
+    for depth in ("*", "*/*"):
+        for found in fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{path}/{depth}/run_id={run_id}")) or []:
+            fs.delete(found.getPath(), True)

@@ -1,8 +1,10 @@
 """Bronze job: register every new raw file, once.
 
 One pass per run (the original ran ≥ 3 Spark jobs per file in a driver
-loop): list the landing folder (metadata only), anti-join the registry, count
-rows of the new files in one grouped scan, append one registry row per file.
+loop): list the landing folder (metadata only), anti-join the registry, scan
+the new files once for their row counts and headers, append one registry row
+per file.  File names never reach the driver; only the payer-month folders
+that hold new files do.
 """
 
 from __future__ import annotations
@@ -14,6 +16,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..operators import upsert
+from ..session import store
 from ..sources import files as FS
 from ..sources.lake import Lake, read_registry
 
@@ -21,28 +24,25 @@ from ..sources.lake import Lake, read_registry
 REGISTRY_PARTITIONS = ["payer_name"]
 
 
-def unregistered_files(spark: SparkSession, lake: Lake) -> DataFrame:
-    listing = FS.list_files(spark, lake.raw)
+def unregistered_files(spark: SparkSession, lake: Lake, listing: DataFrame | None = None) -> DataFrame:
+    listing = FS.list_files(spark, lake.raw) if listing is None else listing
     known = read_registry(spark, lake).select("file_path")
     return listing.join(known, "file_path", "left_anti")
 
 
-def register_new_files(spark: SparkSession, lake: Lake, run_ts: _dt.datetime) -> DataFrame:
-    """Append registry rows for unregistered files; returns the new rows."""
-    new = FS.describe(unregistered_files(spark, lake))
-    # File paths only (metadata, one string per file) reach the driver so the
-    # count scan reads the new files and nothing else.
-    paths = [r.file_path for r in new.select("file_path").collect()]
-    if not paths:
-        return spark.createDataFrame([], schemas.FILE_REGISTRY)
-    counts = FS.count_rows(spark, paths)
-    rows = (new.join(counts, "file_path", "left")
-            .select("file_path", "file_name", "payer_name", "file_year", "file_month",
-                    "file_size_bytes",
-                    F.coalesce("record_count", F.lit(0)).cast("bigint").alias("record_count"),
-                    F.lit(FS.SCHEMA_VERSION).alias("schema_version"),
-                    F.lit(run_ts).cast("timestamp").alias("ingestion_timestamp"),
-                    F.lit("registered").alias("processing_status")))
-    upsert.append(rows, lake.registry, REGISTRY_PARTITIONS)
-    return spark.read.parquet(lake.registry).join(
-        spark.createDataFrame([(p,) for p in paths], "file_path string"), "file_path", "left_semi")
+def register_new_files(spark: SparkSession, lake: Lake, run_ts: _dt.datetime,
+                       listing: DataFrame | None = None) -> DataFrame:
+    """Append registry rows for unregistered files (of the landing folder, or
+    of ``listing``); returns the new rows."""
+    new = store(FS.describe(unregistered_files(spark, lake, listing)), "new-files")
+    scanned = FS.scan_files(spark, new)
+    rows = store(new.join(scanned, "file_path", "left")
+                 .select("file_path", "file_name", "payer_name", "file_year", "file_month",
+                         "file_size_bytes",
+                         F.coalesce("record_count", F.lit(0)).cast("bigint").alias("record_count"),
+                         F.lit(FS.SCHEMA_VERSION).alias("schema_version"),
+                         F.lit(run_ts).cast("timestamp").alias("ingestion_timestamp"),
+                         F.lit("registered").alias("processing_status"), "header_layout"), "registered")
+    if not rows.isEmpty():
+        upsert.append(rows, lake.registry, REGISTRY_PARTITIONS)
+    return rows.select(*schemas.FILE_REGISTRY.fieldNames())

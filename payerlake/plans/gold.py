@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..config import DEFAULT, PipelineConfig
 from ..operators import gold, incremental, upsert
-from ..session import exists
+from ..session import exists, store
 from ..sources.lake import Lake, read_silver
 
 PROVIDER_BUCKETS = 100
@@ -34,30 +34,38 @@ def run_gold(spark: SparkSession, lake: Lake, run_ts: _dt.datetime,
              cfg: PipelineConfig = DEFAULT, full: bool = False) -> DataFrame:
     """Refresh gold; returns the month reconciliation report."""
     silver = silver_for_gold(spark, lake)
+    if silver.isEmpty() and not exists(spark, lake.monthly):
+        return incremental.empty_report(spark)
     ts = F.lit(run_ts).cast("timestamp")
     cutoff = _dt.date(1900, 1, 1) if full else incremental.since(cfg)
-    # The touched months / provider buckets are small sets used by two
-    # refreshes each: keep them for the duration of the job.
-    months = incremental.affected_months(silver, cutoff).persist()
+    # The touched months / provider buckets are small sets used by two refreshes each.
+    months = store(incremental.affected_months(silver, cutoff), "months")
     keyed = silver.withColumn("provider_bucket", provider_bucket())
-    buckets = incremental.recent(keyed, cutoff).select("provider_bucket").distinct().persist()
-    try:
-        monthly = gold.stamp(incremental.refresh_monthly(silver, months), ts)
-        upsert.overwrite_partitions(monthly, lake.monthly, ["year_month"], cluster=True)
-        funnel = gold.stamp(incremental.refresh_funnel(silver, months), ts)
-        upsert.overwrite_partitions(funnel, lake.funnel, ["year_month"], cluster=True)
-        # Months whose claims all left silver (e.g. a run was withdrawn) get no new
-        # rows, so the overwrite above cannot clear them: drop those partitions.
-        if exists(spark, lake.monthly):
-            gone = upsert.partition_values(
-                incremental.vanished_months(spark.read.parquet(lake.monthly), silver), "year_month")
-            for path in (lake.monthly, lake.funnel):
-                upsert.drop_partitions(spark, gone, path, "year_month")
-        touched = keyed.join(buckets, "provider_bucket", "left_semi")
-        providers = gold.stamp(gold.provider_metrics(touched, cfg), ts).withColumn(
-            "provider_bucket", provider_bucket())
-        upsert.overwrite_partitions(providers, lake.provider, ["provider_bucket"], cluster=True)
-    finally:
-        months.unpersist()
-        buckets.unpersist()
+    buckets = store(incremental.recent(keyed, cutoff).select("provider_bucket").distinct(), "buckets")
+    monthly = gold.stamp(incremental.refresh_monthly(silver, months), ts)
+    upsert.overwrite_partitions(monthly, lake.monthly, ["year_month"], cluster=True)
+    funnel = gold.stamp(incremental.refresh_funnel(silver, months), ts)
+    upsert.overwrite_partitions(funnel, lake.funnel, ["year_month"], cluster=True)
+    # Months whose claims all left silver (e.g. a run was withdrawn) get no new
+    # rows, so the overwrite above cannot clear them: drop those partitions.
+    if exists(spark, lake.monthly):
+        gone = upsert.partition_values(
+            incremental.vanished_months(spark.read.parquet(lake.monthly), silver), "year_month")
+        for path in (lake.monthly, lake.funnel):
+            upsert.drop_partitions(spark, gone, path, "year_month")
+    if exists(spark, lake.provider):
+        # Buckets of providers whose claims all left silver are rewritten as well;
+        # a bucket that is left without any provider is dropped.
+        stored = spark.read.parquet(lake.provider).select("provider_id", "provider_bucket")
+        left = silver.select("provider_id").distinct()
+        stale = stored.join(left, "provider_id", "left_anti").select("provider_bucket").distinct()
+        buckets = store(buckets.union(stale).distinct(), "buckets")
+        empty = stored.select("provider_bucket").distinct().join(
+            left.select(provider_bucket().alias("provider_bucket")).distinct(), "provider_bucket", "left_anti")
+        upsert.drop_partitions(spark, upsert.partition_values(empty, "provider_bucket"), lake.provider,
+                               "provider_bucket")
+    touched = keyed.join(buckets, "provider_bucket", "left_semi")
+    providers = gold.stamp(gold.provider_metrics(touched, cfg), ts).withColumn(
+        "provider_bucket", provider_bucket())
+    upsert.overwrite_partitions(providers, lake.provider, ["provider_bucket"], cluster=True)
     return incremental.reconcile_monthly(spark.read.parquet(lake.monthly), silver)

@@ -9,7 +9,7 @@ every rounded ratio here is computed with exact integer half-up arithmetic
 
 from __future__ import annotations
 
-from ..config import DEFAULT, PipelineConfig
+from ..config import FIXTURE, PipelineConfig
 from ..functions import rules as R
 
 # ---------------------------------------------------------------- helpers
@@ -146,7 +146,7 @@ def _nonnull(items: list[str]) -> str:
     return f"list_filter([{', '.join(items)}], lambda x: x IS NOT NULL)"
 
 
-def family_sql(family: str, cfg: PipelineConfig = DEFAULT) -> list[str]:
+def family_sql(family: str, cfg: PipelineConfig = FIXTURE) -> list[str]:
     if family == "required":
         missing = _nonnull([f"CASE WHEN {f} IS NULL THEN {_q(f)} END" for f in R.REQUIRED_FIELDS])
         return [f"CASE WHEN len({missing}) > 0 THEN {_q(R.REQUIRED_FIELD_NULL)} || "
@@ -180,14 +180,14 @@ def family_sql(family: str, cfg: PipelineConfig = DEFAULT) -> list[str]:
     raise KeyError(family)
 
 
-def reasons_sql(families=R.REASON_FAMILIES, cfg: PipelineConfig = DEFAULT) -> str:
+def reasons_sql(families=R.REASON_FAMILIES, cfg: PipelineConfig = FIXTURE) -> str:
     items: list[str] = []
     for f in families:
         items.extend(family_sql(f, cfg))
     return _nonnull(items)
 
 
-def silver_ctes(cfg: PipelineConfig = DEFAULT) -> str:
+def silver_ctes(cfg: PipelineConfig = FIXTURE) -> str:
     return (CLAIMS_CTE + f""",
 flagged AS (SELECT *, {reasons_sql(cfg=cfg)} AS rejection_reasons FROM claims),
 silver AS (
@@ -197,7 +197,7 @@ silver AS (
 quarantine AS (SELECT * FROM flagged WHERE len(rejection_reasons) > 0)""")
 
 
-def with_silver(body: str, cfg: PipelineConfig = DEFAULT) -> str:
+def with_silver(body: str, cfg: PipelineConfig = FIXTURE) -> str:
     return "WITH " + silver_ctes(cfg) + "\n" + body
 
 
@@ -213,11 +213,11 @@ wire AS (
 )"""
 
 
-def with_wire(body: str, cfg: PipelineConfig = DEFAULT) -> str:
+def with_wire(body: str, cfg: PipelineConfig = FIXTURE) -> str:
     return "WITH " + silver_ctes(cfg) + WIRE_CTE + "\n" + body
 
 
-def wire_silver_ctes(cfg: PipelineConfig = DEFAULT, load_date: str | None = None) -> str:
+def wire_silver_ctes(cfg: PipelineConfig = FIXTURE, load_date: str | None = None) -> str:
     """Silver built from the wire feeds: rules run on what the feeds carry."""
     pd = load_date or _date(cfg.as_of)
     return ("WITH " + silver_ctes(cfg) + WIRE_CTE + f""",

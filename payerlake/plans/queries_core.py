@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import DEFAULT
+from ..config import FIXTURE
 from ..functions import rules as R
 from ..operators import gold, validate
 from ..sources.claims_fixture import CLAIM_COLUMNS, claims_table, claims_view
 from . import oracle as O
 from .registry import register
 
-CFG = DEFAULT
+CFG = FIXTURE
 
 
 def flagged_claims(spark: SparkSession, sf: str) -> DataFrame:
@@ -153,7 +153,7 @@ ranks AS (
     string_agg(CASE WHEN kind = 'dx' THEN value END, '|' ORDER BY rn) AS top_5_diagnosis_codes,
     string_agg(CASE WHEN kind = 'px' THEN value END, '|' ORDER BY rn) AS top_5_procedure_codes,
     max(CASE WHEN kind = 'payer' AND rn = 1 THEN value END) AS primary_payer
-  FROM kranked WHERE rn <= {DEFAULT.top_codes} GROUP BY provider_id
+  FROM kranked WHERE rn <= {CFG.top_codes} GROUP BY provider_id
 )"""
 
 PROVIDER_PRE = f""",

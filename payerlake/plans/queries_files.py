@@ -4,7 +4,9 @@ The scenario is built from the given tables: canonical claims are written as
 payer CSV files under Hive paths in a fresh lake folder in two deliveries
 (claims up to 1998, then the rest), each followed by a bronze and a silver
 run; gold is refreshed at the end.  The lake of one (session, sf_dir) is
-built once and shared by the keys that read it.
+built once and shared by the keys that read it.  The second delivery also
+holds three files that must fail by themselves: a reordered header, an
+unknown payer and a file without any header.
 """
 
 from __future__ import annotations
@@ -14,19 +16,31 @@ import datetime as _dt
 from pyspark.sql import functions as F
 
 from ..operators import reports as RP
+from ..operators import standardize as S
 from ..operators import validate
 from ..sources import files as FS
 from ..sources.claims_fixture import CLAIM_COLUMNS, claims_table
 from ..sources.lake import Lake, read_quarantine, read_registry, read_silver, read_log
-from ..sources.lake import list_tables
+from ..sources.lake import table_counts
 from . import bronze, gold as gold_job, silver as silver_job
 from . import oracle as O
-from .queries_core import CFG, MONTHLY_SQL
+from .queries_core import CFG, FUNNEL_SQL, MONTHLY_SQL
 from .registry import register
 
 WAVE_SPLIT_YEAR = 1998
 RUN_TS = (_dt.datetime(2001, 6, 30, 6, 0, 0), _dt.datetime(2001, 6, 30, 18, 0, 0))
 _LAKES: dict[tuple, dict] = {}
+BROKEN_YEAR = 2099
+
+
+def plant_broken_files(spark, lake: Lake) -> None:
+    """Three files that cannot be read as their payer's layout."""
+    columns = list(reversed(S.wire_columns("payer_a")))
+    reordered = spark.createDataFrame([["x"] * len(columns)], columns)
+    stranger = spark.createDataFrame([("1", "2"), ("3", "4")], ["a", "b"])
+    blank = spark.createDataFrame([("",)], ["a"])
+    for df, payer, header in ((reordered, "payer_a", True), (stranger, "payer_x", True), (blank, "payer_b", False)):
+        df.coalesce(1).write.option("header", header).csv(f"{lake.raw}/provider={payer}/year={BROKEN_YEAR}/month=1")
 
 
 def _key(spark, sf):
@@ -44,6 +58,7 @@ def batch_lake(spark, sf) -> dict:
     bronze.register_new_files(spark, lake, RUN_TS[0])
     silver_job.run_silver(spark, lake, "run-000001", RUN_TS[0], CFG)
     FS.write_feeds(claims.filter(~early), lake.raw, CFG)
+    plant_broken_files(spark, lake)
     snap = f"{lake.root}/_snapshots"
     FS.describe(bronze.unregistered_files(spark, lake)).write.parquet(f"{snap}/unregistered")
     bronze.register_new_files(spark, lake, RUN_TS[1])
@@ -68,7 +83,7 @@ def stream_lake(spark, sf) -> Lake:
 
 # ------------------------------------------------------------------ oracle pieces
 
-_BATCH = f"(strpos('0123456789abcdef', substr(md5(claim_id), 1, 1)) - 1) % {CFG.files_per_month}"
+_BATCH = f"CAST('0x' || substr(md5(claim_id), 1, 15) AS BIGINT) % {CFG.files_per_month}"
 FILES_CTE = f""",
 wfiles AS (
   SELECT payer_name, CAST(year(claim_date) AS INTEGER) AS file_year,
@@ -76,6 +91,12 @@ wfiles AS (
          count(*) AS record_count, count_if(len(rejection_reasons) = 0) AS accepted,
          count_if(len(rejection_reasons) > 0) AS quarantined
   FROM wflagged GROUP BY ALL
+),
+afiles AS (
+  SELECT *, 'completed' AS status, CAST(NULL AS VARCHAR) AS failure FROM wfiles
+  UNION ALL VALUES ('payer_a', 2099, 1, 0, 1, NULL, NULL, 'failed', 'No readable header of the payer layout'),
+                   ('payer_x', 2099, 1, 0, 2, NULL, NULL, 'failed', 'Unknown payer'),
+                   ('payer_b', 2099, 1, 0, 0, NULL, NULL, 'failed', 'No readable header of the payer layout')
 )"""
 
 
@@ -95,59 +116,76 @@ REG_COLS = ["payer_name", "file_year", "file_month", "record_count", "schema_ver
 
 register("bronze_file_registry", with_files(
     "SELECT payer_name, file_year, file_month, record_count, 'v1' AS schema_version, "
-    "'registered' AS processing_status FROM wfiles"))(
+    "'registered' AS processing_status FROM afiles"))(
     lambda spark, sf: read_registry(spark, batch_lake(spark, sf)["lake"]).select(*REG_COLS))
 
 register("unregistered_files", with_files(
-    f"SELECT payer_name, file_year, file_month FROM wfiles WHERE file_year > {WAVE_SPLIT_YEAR}"))(
+    f"SELECT payer_name, file_year, file_month FROM afiles WHERE file_year > {WAVE_SPLIT_YEAR}"))(
     lambda spark, sf: spark.read.parquet(batch_lake(spark, sf)["snap"] + "/unregistered")
     .select("payer_name", "file_year", "file_month"))
 
 register("unprocessed_files", with_files(
-    f"SELECT payer_name, file_year, file_month, record_count FROM wfiles WHERE file_year > {WAVE_SPLIT_YEAR}"))(
+    f"SELECT payer_name, file_year, file_month, record_count FROM afiles WHERE file_year > {WAVE_SPLIT_YEAR}"))(
     lambda spark, sf: spark.read.parquet(batch_lake(spark, sf)["snap"] + "/unprocessed")
     .select("payer_name", "file_year", "file_month", "record_count"))
 
 
+_WAVE_TIME = f"CASE WHEN file_year <= {WAVE_SPLIT_YEAR} THEN '{RUN_TS[0]}' ELSE '{RUN_TS[1]}' END"
+
+
+def _time(c):
+    """Times as text, so that both engines spell them alike."""
+    return F.date_format(c, "yyyy-MM-dd HH:mm:ss")
+
+
 def _registry(spark, sf):
     return read_registry(spark, batch_lake(spark, sf)["lake"])
 
 
 register("rpt_registry_by_payer", with_files(
-    "SELECT payer_name, count(*) AS file_count, sum(record_count) AS total_records FROM wfiles GROUP BY ALL"))(
+    "SELECT payer_name, count(*) AS file_count, sum(record_count) AS total_records, "
+    f"min({_WAVE_TIME}) AS first_ingestion, max({_WAVE_TIME}) AS last_ingestion FROM afiles GROUP BY payer_name"))(
     lambda spark, sf: _registry(spark, sf).groupBy("payer_name").agg(
-        F.count(F.lit(1)).alias("file_count"), F.sum("record_count").alias("total_records")))
+        F.count(F.lit(1)).alias("file_count"), F.sum("record_count").alias("total_records"),
+        _time(F.min("ingestion_timestamp")).alias("first_ingestion"),
+        _time(F.max("ingestion_timestamp")).alias("last_ingestion")))
 
 register("rpt_registry_by_month", with_files(
     "SELECT file_year, file_month, count(*) AS file_count, sum(record_count) AS total_records "
-    "FROM wfiles GROUP BY ALL"))(
+    "FROM afiles GROUP BY ALL"))(
     lambda spark, sf: _registry(spark, sf).groupBy("file_year", "file_month").agg(
         F.count(F.lit(1)).alias("file_count"), F.sum("record_count").alias("total_records")))
 
 register("rpt_registry_stats", with_files(
     "SELECT min(record_count) AS min_records, max(record_count) AS max_records, "
     f"{O.avg_dec('record_count', 0, 2, 'DECIMAL(18,2)')} AS avg_records, "
-    "sum(record_count) AS total_records, count(*) AS files FROM wfiles"))(
+    "sum(record_count) AS total_records, count(*) AS files, true AS has_size FROM afiles"))(
     lambda spark, sf: _registry(spark, sf).agg(
         F.min("record_count").alias("min_records"), F.max("record_count").alias("max_records"),
         F.round(F.avg("record_count"), 2).cast("decimal(18,2)").alias("avg_records"),
-        F.sum("record_count").alias("total_records"), F.count(F.lit(1)).alias("files")))
+        F.sum("record_count").alias("total_records"), F.count(F.lit(1)).alias("files"),
+        (F.sum("file_size_bytes") / 1024 / 1024 > 0).alias("has_size")))
 
-register("rpt_registry_size", None, "file sizes depend on the CSV writer: rows-only")(
-    lambda spark, sf: _registry(spark, sf).agg(
-        F.round(F.sum("file_size_bytes") / 1024 / 1024, 3).alias("total_size_mb")))
+# Sizes depend on the CSV writer; that each payer has some is what both sides can say.
+register("rpt_registry_size", with_files(
+    "SELECT payer_name, count(*) AS files, true AS has_size FROM afiles GROUP BY payer_name"))(
+    lambda spark, sf: _registry(spark, sf).groupBy("payer_name").agg(
+        F.count(F.lit(1)).alias("files"), (F.sum("file_size_bytes") > 0).alias("has_size")))
 
 register("rpt_registry_list", with_files(
-    "SELECT payer_name, file_year, file_month, record_count, 'registered' AS processing_status FROM wfiles "
+    "SELECT payer_name, file_year, file_month, record_count, 'registered' AS processing_status FROM afiles "
     "ORDER BY payer_name, file_year, file_month"))(
     lambda spark, sf: _registry(spark, sf).select(
         "payer_name", "file_year", "file_month", "record_count", "processing_status")
     .orderBy("payer_name", "file_year", "file_month", "file_path"))
 
-register("rpt_registry_recent", None, "ties on ingestion time: rows-only")(
-    lambda spark, sf: _registry(spark, sf).select(
-        "file_name", "payer_name", "file_year", "file_month", "record_count", "processing_status")
-    .orderBy(F.col("ingestion_timestamp").desc(), F.col("file_path")).limit(10))
+register("rpt_registry_recent", with_files(
+    "SELECT payer_name, file_year, file_month, record_count, 'registered' AS processing_status, "
+    f"{_WAVE_TIME} AS ingested FROM afiles ORDER BY ingested DESC, payer_name, file_year, file_month, batch LIMIT 10"))(
+    lambda spark, sf: _registry(spark, sf).orderBy(
+        F.col("ingestion_timestamp").desc(), "payer_name", "file_year", "file_month", "file_path").limit(10)
+    .select("payer_name", "file_year", "file_month", "record_count", "processing_status",
+            _time(F.col("ingestion_timestamp")).alias("ingested")))
 
 # ------------------------------------------------------------------ silver from files
 
@@ -172,14 +210,14 @@ def _latest(spark, sf):
 
 
 register("log_latest_state", with_files(
-    "SELECT payer_name, file_year, file_month, 'completed' AS status, record_count AS records_read, "
-    "accepted AS records_accepted, quarantined AS records_quarantined FROM wfiles"))(
+    "SELECT payer_name, file_year, file_month, status, CASE WHEN status = 'completed' THEN record_count END AS records_read, "
+    "accepted AS records_accepted, quarantined AS records_quarantined FROM afiles"))(
     lambda spark, sf: _latest(spark, sf).select(
         "payer_name", "file_year", "file_month", "status", "records_read", "records_accepted",
         "records_quarantined"))
 
 register("rpt_log_by_status", with_files(
-    "SELECT 'completed' AS status, count(*) AS run_count FROM wfiles"))(
+    "SELECT status, count(*) AS run_count FROM afiles GROUP BY status"))(
     lambda spark, sf: silver_job.latest_log(read_log(spark, batch_lake(spark, sf)["lake"]))
     .groupBy("status").agg(F.count(F.lit(1)).alias("run_count")))
 
@@ -189,14 +227,23 @@ register("rpt_log_by_payer", with_files(
     f"{O.pct_of('sum(accepted)', 'sum(record_count)')} AS acceptance_rate_pct FROM wfiles GROUP BY payer_name"))(
     lambda spark, sf: RP.log_by_payer(silver_job.latest_log(read_log(spark, batch_lake(spark, sf)["lake"]))))
 
-register("rpt_log_recent", None, "ties on run time: rows-only")(
-    lambda spark, sf: RP.log_recent(silver_job.latest_log(read_log(spark, batch_lake(spark, sf)["lake"]))))
+register("rpt_log_recent", with_files(
+    "SELECT payer_name, status, CASE WHEN status = 'completed' THEN record_count END AS records_read, "
+    f"accepted AS records_accepted, quarantined AS records_quarantined, {_WAVE_TIME} AS logged FROM afiles "
+    "ORDER BY logged DESC, payer_name, file_year, CAST(file_month AS VARCHAR), batch LIMIT 10"))(
+    lambda spark, sf: RP.log_recent(silver_job.latest_log(read_log(spark, batch_lake(spark, sf)["lake"])))
+    .select("payer_name", "status", "records_read", "records_accepted", "records_quarantined",
+            _time(F.col("event_timestamp")).alias("logged")))
 
-register("rpt_log_failed", None, "no failures in the scenario: rows-only")(
-    lambda spark, sf: RP.log_failed(silver_job.latest_log(read_log(spark, batch_lake(spark, sf)["lake"]))))
+register("rpt_log_failed", with_files(
+    f"SELECT payer_name, file_year, file_month, failure, {_WAVE_TIME} AS logged FROM afiles WHERE status = 'failed'"))(
+    lambda spark, sf: file_cols(RP.log_failed(silver_job.latest_log(read_log(spark, batch_lake(spark, sf)["lake"]))))
+    .select("payer_name", "file_year", "file_month", F.substring_index("error_message", ":", 1).alias("failure"),
+            _time(F.col("event_timestamp")).alias("logged")))
 
-register("last_processed", None, "timestamp: rows-only")(
-    lambda spark, sf: silver_job.last_processed(read_log(spark, batch_lake(spark, sf)["lake"])))
+register("last_processed", with_files(f"SELECT max({_WAVE_TIME}) AS last_processed FROM wfiles"))(
+    lambda spark, sf: silver_job.last_processed(read_log(spark, batch_lake(spark, sf)["lake"]))
+    .select(_time(F.col("last_timestamp")).alias("last_processed")))
 
 register("run_summary", with_files(
     "SELECT count(*) AS files, sum(accepted) AS accepted, sum(quarantined) AS quarantined, "
@@ -207,8 +254,23 @@ register("gold_from_files", O.wire_silver_ctes(CFG) + ",\nsilver2 AS (SELECT *,
          "AS year_month FROM wsilver)\n" + MONTHLY_SQL.replace("FROM silver)", "FROM silver2)"))(
     lambda spark, sf: spark.read.parquet(batch_lake(spark, sf)["lake"].monthly).drop("last_updated_timestamp"))
 
-register("catalog_tables", None, "table listing: rows-only")(
-    lambda spark, sf: list_tables(spark, batch_lake(spark, sf)["lake"]))
+register("funnel_from_files", O.wire_silver_ctes(CFG) + ",\nsilver2 AS (SELECT *, strftime(claim_date, '%Y-%m') "
+         "AS year_month FROM wsilver)\n" + FUNNEL_SQL.replace("FROM silver", "FROM silver2"))(
+    lambda spark, sf: spark.read.parquet(batch_lake(spark, sf)["lake"].funnel).drop("last_updated_timestamp"))
+
+# Both runs' files: read, started and finished events, or one failure.
+register("catalog_tables", with_files(
+    "SELECT 'bronze' AS layer, 'claims_files' AS table_name, (SELECT count(*) FROM afiles) AS row_count "
+    "UNION ALL SELECT 'silver', 'claims', (SELECT count(*) FROM wsilver) "
+    "UNION ALL SELECT 'silver', 'claims_quarantine', (SELECT count(*) FROM wquarantine) "
+    "UNION ALL SELECT 'silver', 'processing_log', "
+    "(SELECT CAST(sum(CASE status WHEN 'completed' THEN 2 ELSE 1 END) AS BIGINT) FROM afiles) "
+    "UNION ALL SELECT 'gold', 'claims_monthly_summary', (SELECT count(*) FROM "
+    "(SELECT DISTINCT strftime(claim_date, '%Y-%m'), payer_name FROM wsilver)) "
+    "UNION ALL SELECT 'gold', 'claims_approval_funnel', (SELECT count(*) FROM "
+    "(SELECT DISTINCT strftime(claim_date, '%Y-%m'), payer_name, claim_type FROM wsilver)) "
+    "UNION ALL SELECT 'gold', 'provider_performance_metrics', (SELECT count(DISTINCT provider_id) FROM wsilver)"))(
+    lambda spark, sf: table_counts(spark, batch_lake(spark, sf)["lake"]))
 
 # ------------------------------------------------------------------ streaming
 

@@ -75,3 +75,14 @@ def q_provider_upsert(spark, sf):
 def q_reconcile(spark, sf):
     silver = silver_claims(spark, sf)
     return incremental.reconcile_monthly(gold.monthly_summary(silver), silver)
+
+
+@register("reconcile_planted_error", with_gold(
+    "SELECT year_month, count(*) = 1 AS one_payer_less, false AS passed FROM monthly "
+    "WHERE payer_name = 'payer_a' AND CAST(substr(year_month, 6, 2) AS INTEGER) = 3 GROUP BY year_month"))
+def q_reconcile_planted(spark, sf):
+    """Gold without payer_a's March rows: exactly those months must fail."""
+    silver = silver_claims(spark, sf)
+    planted = gold.monthly_summary(silver).filter(~((F.col("payer_name") == "payer_a") & F.col("year_month").endswith("-03")))
+    report = incremental.reconcile_monthly(planted, silver).filter(~F.col("passed"))
+    return report.select("year_month", (F.col("gold_rows") == F.col("silver_payers") - 1).alias("one_payer_less"), "passed")

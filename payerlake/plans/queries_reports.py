@@ -93,7 +93,9 @@ register("rpt_rejection_by_payer", S(
     "(SELECT payer_name, unnest(rejection_reasons) AS rejection_reason FROM quarantine) GROUP BY ALL"))(
     lambda spark, sf: RP.rejection_by_payer(quarantine(spark, sf)))
 
-register("rpt_quarantine_sample", None, "sample: rows-only")(
+register("rpt_quarantine_sample", S(
+    "SELECT claim_id, payer_name, array_to_string(rejection_reasons, '|') AS rejection_reasons FROM quarantine "
+    "ORDER BY claim_id NULLS FIRST, payer_name NULLS FIRST, array_to_string(rejection_reasons, '|') LIMIT 5"))(
     lambda spark, sf: RP.quarantine_sample(quarantine(spark, sf)).select(
         "claim_id", "payer_name", F.array_join("rejection_reasons", "|").alias("rejection_reasons")))
 
@@ -129,7 +131,8 @@ register("rpt_trend_by_month", with_gold(
     "SELECT year_month, sum(total_claims) AS total_claims, "
     "CAST(sum(total_billed_amount) AS DECIMAL(18,2)) AS total_billed, "
     "CAST(sum(total_paid_amount) AS DECIMAL(18,2)) AS total_paid, "
-    f"{O.avg_dec('approval_rate', 2, 2, R2)} AS avg_approval_rate FROM monthly GROUP BY year_month"))(
+    f"{O.avg_dec('approval_rate', 2, 2, R2)} AS avg_approval_rate, "
+    f"{O.pct_of('sum(claims_approved)', 'sum(total_claims)')} AS approval_rate_weighted FROM monthly GROUP BY year_month"))(
     lambda spark, sf: RP.trend_by_month(monthly(spark, sf)))
 
 register("rpt_payer_compare", with_gold(
@@ -170,7 +173,8 @@ register("rpt_funnel_by_payer_type", with_gold(
     "SELECT payer_name, claim_type, sum(total_submitted) AS total_submitted, sum(approved_count) AS approved, "
     "sum(denied_count) AS denied, sum(pending_count) AS pending, "
     f"{O.avg_dec('approval_rate', 2, 2, R2)} AS avg_approval_rate, "
-    f"{O.avg_dec('denial_rate', 2, 2, R2)} AS avg_denial_rate FROM funnel GROUP BY payer_name, claim_type"))(
+    f"{O.avg_dec('denial_rate', 2, 2, R2)} AS avg_denial_rate, "
+    f"{O.pct_of('sum(approved_count)', 'sum(total_submitted)')} AS approval_rate_weighted FROM funnel GROUP BY payer_name, claim_type"))(
     lambda spark, sf: RP.funnel_by_payer_type(funnel(spark, sf)))
 
 register("rpt_inpatient_vs_outpatient", with_gold(
@@ -178,13 +182,14 @@ register("rpt_inpatient_vs_outpatient", with_gold(
     f"{O.avg_dec('approval_rate', 2, 2, R2)} AS avg_approval_rate, "
     f"{O.avg_dec('avg_processing_days', 1, 1, 'DECIMAL(7,1)')} AS avg_processing_days, "
     "CAST(sum(submitted_amount) AS DECIMAL(18,2)) AS total_submitted_amount, "
-    "CAST(sum(approved_amount) AS DECIMAL(18,2)) AS total_approved_amount FROM funnel GROUP BY claim_type"))(
+    "CAST(sum(approved_amount) AS DECIMAL(18,2)) AS total_approved_amount, "
+    f"{O.pct_of('sum(approved_count)', 'sum(total_submitted)')} AS approval_rate_weighted FROM funnel GROUP BY claim_type"))(
     lambda spark, sf: RP.inpatient_vs_outpatient(funnel(spark, sf)))
 
 register("rpt_funnel_trend", with_gold(
     "SELECT year_month, sum(total_submitted) AS total_submitted, sum(approved_count) AS approved, "
-    f"sum(denied_count) AS denied, {O.avg_dec('approval_rate', 2, 2, R2)} AS avg_approval_rate "
-    "FROM funnel GROUP BY year_month"))(
+    f"sum(denied_count) AS denied, {O.avg_dec('approval_rate', 2, 2, R2)} AS avg_approval_rate, "
+    f"{O.pct_of('sum(approved_count)', 'sum(total_submitted)')} AS approval_rate_weighted FROM funnel GROUP BY year_month"))(
     lambda spark, sf: RP.funnel_trend(funnel(spark, sf)))
 
 register("rpt_processing_efficiency", with_gold(
@@ -240,6 +245,16 @@ register("rpt_gold_totals", with_gold(
     "(SELECT count(*) FROM monthly) AS monthly_rows, (SELECT count(*) FROM funnel) AS funnel_rows"))(
     lambda spark, sf: RP.gold_totals(monthly(spark, sf), funnel(spark, sf), provider(spark, sf)))
 
-register("rpt_freshness", None, "timestamps: rows-only")(
-    lambda spark, sf: RP.freshness(gold.stamp(monthly(spark, sf)), gold.stamp(funnel(spark, sf)),
-                                   gold.stamp(provider(spark, sf))))
+_RUN = "2001-06-30 18:00:00"
+
+
+def _freshness(spark, sf):
+    ts = F.lit(_RUN).cast("timestamp")
+    out = RP.freshness(*(gold.stamp(t(spark, sf), ts) for t in (monthly, funnel, provider)))
+    return out.select("table_name", F.date_format("last_update", "yyyy-MM-dd HH:mm:ss").alias("last_update"))
+
+
+register("rpt_freshness", with_gold(" UNION ALL ".join(
+    f"SELECT '{name}' AS table_name, CASE WHEN count(*) > 0 THEN '{_RUN}' END AS last_update FROM {table}"
+    for name, table in (("claims_monthly_summary", "monthly"), ("claims_approval_funnel", "funnel"),
+                        ("provider_performance_metrics", "provider")))))(_freshness)

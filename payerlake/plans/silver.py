@@ -2,23 +2,25 @@
 
 Per run, not per file: all new files of a payer are read in one scan, the
 three payer layouts are mapped and unioned, every rule is evaluated in one
-projection, and the result is persisted once and written twice (accepted,
-quarantined).  Per-file log rows come from one grouped count over the same
-persisted data.
-
-Commit protocol: data partitions carry the run id and are written with
-dynamic partition overwrite; the log rows (status ``completed``) are written
-last.  Readers only see runs whose log says completed, and a retried run
-with the same id replaces its own partial output – so an executor or driver
-loss at any point never duplicates or half-publishes rows.
+projection, and the flagged rows are stored once on the shared file system;
+the accepted rows, the quarantine and the per-file counts are read from that
+copy.  A file whose header is not its payer's layout, a file without a
+header and a file of an unknown payer are logged as failed, each by itself;
+all others go through.
+
+Commit protocol: data partitions carry the run id, and the log rows (status
+``completed``) are written last.  Readers only see runs whose log says
+completed.  A retry with the same id first clears whatever the earlier
+attempt left under that id, in any partition; an id that has completed is
+refused.  An executor or driver loss at any point never duplicates or
+half-publishes rows.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,6 +28,8 @@ from .. import schemas
 from ..config import DEFAULT, PipelineConfig
 from ..operators import standardize as S
 from ..operators import upsert, validate
+from ..session import store
+from ..sources import files as FS
 from ..sources.lake import Lake, read_log, read_registry
 
 LOG_PARTITIONS = ["run_id"]
@@ -72,33 +76,32 @@ def unprocessed_files(spark: SparkSession, lake: Lake) -> DataFrame:
     return read_registry(spark, lake).join(done, "file_path", "left_anti")
 
 
-def read_payer_files(spark: SparkSession, payer: str, paths: list[str],
+def read_payer_files(spark: SparkSession, payer: str, files: DataFrame,
                      cfg: PipelineConfig = DEFAULT) -> DataFrame:
-    """All new files of one payer in one scan, every column a string.
+    """All given files of one payer in one scan, every column a string.
 
-    The payer layout is the schema and ``enforceSchema=false`` makes Spark
-    check each file's header against it, so a file whose columns are
-    reordered fails loudly instead of being mapped by position.
+    Registration has compared each file's header with the payer layout, so
+    the layout is the schema and the header line is only skipped.
     """
     wire = S.wire_columns(payer)
     schema = T.StructType([T.StructField(c, T.StringType()) for c in wire])
-    raw = (spark.read.schema(schema).option("header", True).option("enforceSchema", False)
-           .option("mode", "PERMISSIVE").csv(paths)
-           .withColumn("source_file_path", F.col("_metadata.file_path")))
+    reader = spark.read.schema(schema).option("header", True).option("enforceSchema", True).option("mode", "PERMISSIVE")
+    raw = FS.read_of(files.filter(F.col("payer_name") == payer), reader, "csv")
     raw = raw.withColumn("raw_record", F.to_json(F.struct(*[F.col(c) for c in wire])))
     return S.to_canonical(raw.select(*wire, "source_file_path", "raw_record"), payer, cfg)
 
 
 def _processing_id(run_id: str):
-    return F.concat_ws("_", F.lit(run_id), F.col("payer_name"),
-                       F.substring(F.sha2(F.col("bronze_file_path"), 256), 1, 12))
+    return F.concat_ws("_", F.lit(run_id), F.col("payer_name"), F.sha2(F.col("bronze_file_path"), 256))
 
 
 def log_events(files: DataFrame, run_id: str, status: str, ts: _dt.datetime,
-               counts: DataFrame | None = None, error: str | None = None) -> DataFrame:
+               counts: DataFrame | None = None, error: Column | str | None = None) -> DataFrame:
     """One log event per file; ``counts`` (per bronze_file_path) fills the
     record counts of a completed event, a file without rows counts 0."""
-    base = files.select(F.col("file_path").alias("bronze_file_path"), "payer_name")
+    error = error if isinstance(error, Column) else F.lit(error)
+    base = files.select(F.col("file_path").alias("bronze_file_path"), "payer_name",
+                        error.cast("string").alias("error_message"))
     metrics = ("records_read", "records_accepted", "records_quarantined")
     if counts is not None:
         base = base.join(counts, "bronze_file_path", "left")
@@ -108,7 +111,7 @@ def log_events(files: DataFrame, run_id: str, status: str, ts: _dt.datetime,
     return base.select(
         _processing_id(run_id).alias("processing_id"), "bronze_file_path", "payer_name",
         F.lit(ts).cast("timestamp").alias("event_timestamp"), F.lit(status).alias("status"),
-        *vals, F.lit(error).cast("string").alias("error_message"), F.lit(run_id).alias("run_id"))
+        *vals, "error_message", F.lit(run_id).alias("run_id"))
 
 
 def commit_log(lake: Lake, events: DataFrame) -> None:
@@ -116,71 +119,85 @@ def commit_log(lake: Lake, events: DataFrame) -> None:
     upsert.overwrite_partitions(events, lake.log, LOG_PARTITIONS)
 
 
-def process_batch(spark: SparkSession, lake: Lake, canonical: DataFrame, files: DataFrame,
-                  run_id: str, run_ts: _dt.datetime, cfg: PipelineConfig = DEFAULT) -> dict:
-    """Validate one batch of canonical rows and publish it (shared by batch and stream)."""
+class RunIdUsed(ValueError):
+    """The run id names a completed run; writing under it would replace that run."""
+
+
+def run_completed(spark: SparkSession, lake: Lake, run_id: str) -> bool:
+    log = read_log(spark, lake).filter((F.col("run_id") == run_id) & (F.col("status") == "completed"))
+    return not log.isEmpty()
+
+
+def refuse_reason() -> Column:
+    """Why a registered file cannot be read; NULL if it can."""
+    payer, layout = F.col("payer_name"), F.col("header_layout")
+    wanted = F.create_map(*(F.lit(x) for p in S.PAYERS for x in (p, ",".join(S.wire_columns(p)))))
+    return (F.when(payer.isNull() | ~payer.isin(list(S.PAYERS)), F.concat(F.lit("Unknown payer: "), F.coalesce(payer, F.lit("none"))))
+            .when(layout.isNull() | (layout != payer),
+                  F.concat(F.lit("No readable header of the payer layout: "), F.try_element_at(wanted, payer))))
+
+
+def publish(spark: SparkSession, lake: Lake, canonical: DataFrame, files: DataFrame, refused: DataFrame,
+            run_id: str, run_ts: _dt.datetime, cfg: PipelineConfig = DEFAULT) -> None:
+    """Validate one batch of canonical rows and publish it with its log."""
     staged = (canonical
               .withColumn("ingestion_timestamp", F.lit(run_ts).cast("timestamp"))
               .withColumn("processing_date", F.lit(cfg.as_of))
               .withColumn("run_id", F.lit(run_id))
               .withColumn("claim_month", F.date_format("claim_date", "yyyy-MM")))
+    flagged = store(validate.with_reasons(staged, cfg), "flagged")
+    good = validate.accepted(flagged).select(*schemas.SILVER_CLAIMS.fieldNames())
+    upsert.overwrite_partitions(good, lake.silver_claims, SILVER_PARTITIONS)
+    bad = (validate.quarantine_projection(validate.quarantined(flagged), F.lit(run_ts).cast("timestamp"))
+           .withColumn("run_id", F.lit(run_id))
+           .withColumn("rejection_day", F.lit(run_ts.date().isoformat())))
+    upsert.overwrite_partitions(bad.select(*schemas.QUARANTINE.fieldNames()), lake.quarantine,
+                                QUARANTINE_PARTITIONS)
+    counts = (flagged.groupBy(F.col("source_file_path").alias("bronze_file_path"))
+              .agg(F.count(F.lit(1)).alias("records_read"),
+                   F.count_if(F.size("rejection_reasons") == 0).alias("records_accepted"),
+                   F.count_if(F.size("rejection_reasons") > 0).alias("records_quarantined")))
+    commit_log(lake, log_events(files, run_id, "running", run_ts)
+               .unionByName(log_events(files, run_id, "completed", run_ts, counts)).unionByName(refused))
+
+
+def process_files(spark: SparkSession, lake: Lake, registered: DataFrame, run_id: str,
+                  run_ts: _dt.datetime, cfg: PipelineConfig = DEFAULT) -> dict:
+    """Publish every readable file of ``registered`` (registry rows) in one run;
+    log the others, and all of them if the run itself fails, as failed."""
+    if run_completed(spark, lake, run_id):
+        raise RunIdUsed(f"run {run_id} has completed; choose another id")
+    # A copy: the rows must not be recomputed from the log while this run writes its own part of it.
+    todo = store(registered.withColumn("refused", refuse_reason()), "todo")
+    files, broken = todo.filter("refused IS NULL"), todo.filter("refused IS NOT NULL")
+    n, failed = todo.count(), broken.count()
+    if not n:
+        return {"run_id": run_id, "files": 0, "failed": 0, "unknown_payers": [], "error": None}
+    for path in (lake.silver_claims, lake.quarantine):
+        upsert.drop_run(spark, path, run_id)
+    refused = log_events(broken, run_id, "failed", run_ts, error=F.col("refused"))
     # 'running' events first: an in-flight (or crashed) run is visible in the log.
-    started = log_events(files, run_id, "running", run_ts)
-    upsert.overwrite_partitions(started, lake.log, LOG_PARTITIONS)
-    flagged = validate.with_reasons(staged, cfg).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        good = validate.accepted(flagged).select(*schemas.SILVER_CLAIMS.fieldNames())
-        upsert.overwrite_partitions(good, lake.silver_claims, SILVER_PARTITIONS)
-        bad = (validate.quarantine_projection(validate.quarantined(flagged), F.lit(run_ts).cast("timestamp"))
-               .withColumn("run_id", F.lit(run_id))
-               .withColumn("rejection_day", F.lit(run_ts.date().isoformat())))
-        upsert.overwrite_partitions(bad.select(*schemas.QUARANTINE.fieldNames()), lake.quarantine,
-                                    QUARANTINE_PARTITIONS)
-        counts = (flagged.groupBy(F.col("source_file_path").alias("bronze_file_path"))
-                  .agg(F.count(F.lit(1)).alias("records_read"),
-                       F.count_if(F.size("rejection_reasons") == 0).alias("records_accepted"),
-                       F.count_if(F.size("rejection_reasons") > 0).alias("records_quarantined")))
-        done = log_events(files, run_id, "completed", run_ts, counts)
-        commit_log(lake, started.unionByName(done))
-    finally:
-        flagged.unpersist()
-    return {"run_id": run_id}
-
-
-def run_silver(spark: SparkSession, lake: Lake, run_id: str, run_ts: _dt.datetime,
-               cfg: PipelineConfig = DEFAULT) -> dict:
-    # One (path, payer) string pair per file reaches the driver: the CSV reader
-    # needs the file list (Spark lists files on the driver anyway).
-    pending = unprocessed_files(spark, lake).select("file_path", "payer_name").collect()
-    if not pending:
-        return {"run_id": run_id, "files": 0}
-    # The file list as a small local DataFrame: it must not be recomputed from
-    # the log while this run overwrites its own log partition.
-    todo = spark.createDataFrame([(r.file_path, r.payer_name) for r in pending],
-                                 "file_path string, payer_name string")
-    by_payer: dict[str, list[str]] = {}
-    for r in pending:
-        by_payer.setdefault(r.payer_name, []).append(r.file_path)
-    known = [p for p in by_payer if S.known_payer(p)]
-    unknown = [p for p in by_payer if not S.known_payer(p)]
-    parts = [read_payer_files(spark, p, by_payer[p], cfg) for p in known]
-    known_files = todo.filter(F.col("payer_name").isin(known))
+    commit_log(lake, log_events(files, run_id, "running", run_ts).unionByName(refused))
+    # The known payers are few, whatever the number of files.
+    payers = [r.payer_name for r in files.select("payer_name").distinct().collect()]
     error = None
-    if parts:
+    if payers:
+        parts = [read_payer_files(spark, p, files, cfg) for p in sorted(payers)]
         canonical = parts[0]
-        for p in parts[1:]:
-            canonical = canonical.unionByName(p)
+        for part in parts[1:]:
+            canonical = canonical.unionByName(part)
         try:
-            process_batch(spark, lake, canonical, known_files, run_id, run_ts, cfg)
+            publish(spark, lake, canonical, files, refused, run_id, run_ts, cfg)
         except Exception as exc:  # noqa: BLE001 - logged per file, like the original
             # Nothing of this run is visible (no completed log rows); record
             # the failure per file so the files are retried by the next run.
-            head = " ".join(str(exc).strip().splitlines()[:2])
-            error = f"{type(exc).__name__}: {head[:500]}"
-            failed = log_events(known_files, run_id, "failed", run_ts, error=error)
-            upsert.overwrite_partitions(failed, lake.log, LOG_PARTITIONS)
-    if unknown:
-        failed_files = todo.filter(~F.col("payer_name").isin(known) | F.col("payer_name").isNull())
-        failed = log_events(failed_files, run_id + "-unknown", "failed", run_ts, error="Unknown payer")
-        upsert.overwrite_partitions(failed, lake.log, LOG_PARTITIONS)
-    return {"run_id": run_id, "files": len(pending), "unknown_payers": unknown, "error": error}
+            error, failed = f"{type(exc).__name__}: {exc}", n
+            commit_log(lake, log_events(files, run_id, "failed", run_ts, error=error).unionByName(refused))
+    unknown = [r.payer_name for r in broken.filter(F.col("refused").startswith("Unknown payer"))
+               .select("payer_name").distinct().collect()]
+    return {"run_id": run_id, "files": n, "failed": failed, "unknown_payers": unknown, "error": error}
+
+
+def run_silver(spark: SparkSession, lake: Lake, run_id: str, run_ts: _dt.datetime,
+               cfg: PipelineConfig = DEFAULT) -> dict:
+    return process_files(spark, lake, unprocessed_files(spark, lake), run_id, run_ts, cfg)

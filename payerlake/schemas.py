@@ -16,6 +16,8 @@ FILE_REGISTRY = T.StructType([
     _f("file_path", S, False), _f("file_name", S, False), _f("payer_name", S),
     _f("file_year", I), _f("file_month", I), _f("file_size_bytes", L), _f("record_count", L),
     _f("schema_version", S), _f("ingestion_timestamp", TS, False), _f("processing_status", S, False),
+    # The payer layout that the file's first line spells; NULL for any other or no first line.
+    _f("header_layout", S),
 ])
 
 CLAIM_FIELDS = [

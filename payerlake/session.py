@@ -8,11 +8,10 @@ cluster names in ``spark.checkpoint.dir``.  Only when that setting is absent
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that matter at scale; every one is a plain Spark option.
 SCALE_CONF = {
@@ -49,27 +48,34 @@ def build_session(master: str | None = None, app: str = "payerlake",
     return spark
 
 
+# What results depend on, whatever the session says.
+REQUIRED_CONF = {"spark.sql.session.timeZone": "UTC"}
+
+
 def apply_runtime_conf(spark: SparkSession) -> None:
-    """Apply the SQL options that can change on a live session."""
+    """Set what results depend on; of the rest only what the session leaves unset."""
+    given = spark.conf.getAll
     for k, v in SCALE_CONF.items():
-        if k.startswith("spark.sql."):
-            try:
-                spark.conf.set(k, v)
-            except Exception:  # static option on an existing session
-                pass
+        if k not in given and spark.conf.isModifiable(k):
+            spark.conf.set(k, v)
+    for k, v in REQUIRED_CONF.items():
+        spark.conf.set(k, v)
 
 
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared scratch root: the cluster's ``spark.checkpoint.dir``.
 
-    When it is unset (tests, local bench) a fresh folder is created once and
-    registered as the checkpoint directory of this context.
+    When it is unset in local mode (tests, bench) a fresh folder is created once
+    and registered as the checkpoint directory of this context.  On a cluster a
+    machine-local folder would lose rows, so there the setting is required.
     """
     sc = spark.sparkContext
     root = sc.getCheckpointDir()
     if not root:
         root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         root = tempfile.mkdtemp(prefix="payerlake-ckpt-")
         sc.setCheckpointDir(root)
         root = sc.getCheckpointDir() or root
@@ -84,6 +90,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def store(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once into the shared scratch root and read it back."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def local_path(path: str) -> str:
     """Strip a ``file:`` scheme so Python can look at a local path."""
     if path.startswith("file://"):
@@ -99,10 +113,3 @@ def exists(spark: SparkSession, path: str) -> bool:
     jpath = jvm.org.apache.hadoop.fs.Path(path)
     fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     return bool(fs.exists(jpath))
-
-
-def env_cpus(default: int = 8) -> int:
-    try:
-        return int(os.environ.get("BENCH_CPUS", default))
-    except ValueError:
-        return default

@@ -1,9 +1,10 @@
-"""Raw payer files: list, count, describe – and write test feeds.
+"""Raw payer files: list, scan, describe – and write test feeds.
 
-Listing uses the ``binaryFile`` source without its content column, so it
-reads file metadata only (a header-only CSV is still seen, with 0 rows).
-Row counts come from one CSV scan grouped by ``_metadata.file_path``.  The
-path layout is Hive style::
+A file is known by its canonical URI (``_metadata.file_path``) in every table
+and every job.  Listing uses the ``binaryFile`` source without its content
+column, so it reads file metadata only (a header-only CSV is still seen).
+Files are read by their payer-month folders and semi-joined on the URI: no
+list of files is built on the driver.  The path layout is Hive style::
 
     <root>/provider=<payer>/year=<YYYY>/month=<M>/batch=<n>/<file>.csv
 
@@ -19,25 +20,73 @@ from ..config import DEFAULT, PipelineConfig
 from ..operators import standardize as S
 
 SCHEMA_VERSION = "v1"
+LISTING_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
+
+
+def listing(files: DataFrame) -> DataFrame:
+    """Name, size and time of each row's file, from a (batch or streaming) ``binaryFile`` read."""
+    return files.select(F.col("_metadata.file_path").alias("file_path"),
+                        F.col("_metadata.file_size").alias("file_size_bytes"),
+                        F.col("_metadata.file_modification_time").alias("modification_time"))
 
 
 def list_files(spark: SparkSession, root: str) -> DataFrame:
-    return (spark.read.format("binaryFile")
-            .option("pathGlobFilter", "*.csv")
-            .option("recursiveFileLookup", "true")
-            .load(root)
-            .select(F.col("path").alias("file_path"),
-                    F.col("length").alias("file_size_bytes"),
-                    F.col("modificationTime").alias("modification_time")))
+    return listing(spark.read.format("binaryFile")
+                   .option("pathGlobFilter", "*.csv")
+                   .option("recursiveFileLookup", "true")
+                   .load(root))
+
+
+def plain_path(uri: Column) -> Column:
+    """The path behind a file URI: blanks, percent signs and so on decoded."""
+    return F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B")))
+
 
+def folders(files: DataFrame) -> list[str]:
+    """The payer-month folders of the files (other files: their own folder); as many as there are months."""
+    p = plain_path(F.col("file_path"))
+    month = F.regexp_extract(p, r"^(.*/month=[^/]+)/", 1)
+    found = files.select(F.when(month != "", month).otherwise(F.regexp_extract(p, r"^(.*)/[^/]*$", 1)).alias("f"))
+    return [r.f for r in found.distinct().collect()]
 
-def count_rows(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Data rows per file (header excluded).  Only the given files are read."""
-    if not paths:
-        return spark.createDataFrame([], "file_path string, record_count bigint")
-    return (spark.read.option("header", True).schema("_c0 string").csv(paths)
-            .groupBy(F.col("_metadata.file_path").alias("file_path"))
-            .agg(F.count(F.lit(1)).alias("record_count")))
+
+def read_of(files: DataFrame, reader, fmt: str) -> DataFrame:
+    """Rows of exactly the given files (column file_path), with their URI as source_file_path.
+
+    The reader may see other files of the same folders; the semi-join drops
+    their rows.  Spark broadcasts the file list while it is small.
+    """
+    where = folders(files)
+    rows = (reader.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv")
+            .format(fmt).load(where))
+    rows = rows.select("*", F.col("_metadata.file_path").alias("source_file_path"),
+                       F.col("_metadata.file_block_start").alias("block_start"))
+    if fmt == "text":
+        rows = rows.withColumn("line", F.monotonically_increasing_id())
+    return rows.join(files.select(F.col("file_path").alias("source_file_path")).distinct(),
+                     "source_file_path", "left_semi")
+
+
+def scan_files(spark: SparkSession, files: DataFrame) -> DataFrame:
+    """file_path, record_count (lines with text, without the header) and header_layout of each file.
+
+    One aggregate over the lines.  header_layout is the payer whose column
+    names the first line spells, or NULL; a file without any line, or one that
+    cannot be read, has no row.
+    """
+    if files.isEmpty():
+        return spark.createDataFrame([], "file_path string, record_count long, header_layout string")
+    lines = read_of(files, spark.read.option("ignoreCorruptFiles", "true"), "text")
+    text = F.trim(F.regexp_replace("value", "[\"\ufeff ]", ""))
+    at_start = (F.col("block_start") == 0) & (text != "")
+    header = {p: F.min(F.when(at_start & (F.lower(text) == ",".join(S.wire_columns(p)).lower()), F.col("line")))
+              for p in S.PAYERS}
+    first = F.min(F.when(at_start, F.col("line")))
+    per_file = lines.groupBy("source_file_path").agg(
+        F.count_if(text != "").alias("n"), first.alias("first"), *(h.alias(f"of_{p}") for p, h in header.items()))
+    layout = F.coalesce(*(F.when(F.col(f"of_{p}") == F.col("first"), p) for p in S.PAYERS))
+    return per_file.select(F.col("source_file_path").alias("file_path"),
+                           F.greatest(F.col("n") - 1, F.lit(0)).alias("record_count"), layout.alias("header_layout"))
 
 
 def path_part(path: Column, key: str) -> Column:
@@ -46,7 +95,7 @@ def path_part(path: Column, key: str) -> Column:
 
 def describe(files: DataFrame) -> DataFrame:
     """Registry columns derivable from the path alone."""
-    p = F.col("file_path")
+    p = plain_path(F.col("file_path"))
     payer = path_part(p, "provider")
     return files.select(
         "file_path",
@@ -61,9 +110,9 @@ def describe(files: DataFrame) -> DataFrame:
 
 def file_batch(cfg: PipelineConfig = DEFAULT) -> Column:
     """Optional split of a payer-month into ``files_per_month`` folders by a
-    hash of the claim id (first hex digit of its md5)."""
-    first_hex = F.conv(F.substring(F.md5(F.col("claim_id")), 1, 1), 16, 10).cast("int")
-    return F.pmod(first_hex, F.lit(cfg.files_per_month))
+    hash of the claim id (60 bits of its md5)."""
+    bits = F.conv(F.substring(F.md5(F.col("claim_id")), 1, 15), 16, 10).cast("bigint")
+    return F.pmod(bits, F.lit(cfg.files_per_month))
 
 
 def write_feeds(claims: DataFrame, root: str, cfg: PipelineConfig = DEFAULT,

@@ -116,6 +116,20 @@ def list_tables(spark: SparkSession, lake: Lake) -> DataFrame:
     return spark.createDataFrame(rows, "layer string, table_name string, path string, present boolean")
 
 
+def table_counts(spark: SparkSession, lake: Lake) -> DataFrame:
+    """Stored rows of every layer table (committed runs only where runs commit); absent tables have none."""
+    special = {lake.silver_claims: read_silver, lake.quarantine: read_quarantine}
+    out = None
+    for name, path in lake.tables().items():
+        rows = special[path](spark, lake) if path in special else (
+            spark.read.parquet(path) if exists(spark, path) else spark.createDataFrame([], "x int"))
+        layer, table = name.split(".")
+        one = rows.agg(F.count(F.lit(1)).alias("row_count")).select(
+            F.lit(layer).alias("layer"), F.lit(table).alias("table_name"), "row_count")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 def ensure_tables(spark: SparkSession, lake: Lake) -> list[str]:
     """Create every layer table that does not exist yet (empty, with its schema).
 

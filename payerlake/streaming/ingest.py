@@ -1,15 +1,14 @@
 """Structured Streaming ingest: every new payer file exactly once.
 
-The file sources remember which files they consumed in the query
-checkpoint, so "has this file been processed?" needs no registry lookup.
-Each micro-batch runs the same validation and publishing step as the batch
-job (``silver.process_batch``) with run id ``stream-<batch id>``; its data
-partitions are overwritten by run id and its log rows are written last, so
-a batch replayed after a failure replaces its own output instead of
-duplicating it.
-
-The three payer layouts are three file streams mapped to the canonical
-schema and unioned into one query (one checkpoint, one trigger).
+The stream carries files, not rows: a ``binaryFile`` stream over the landing
+folder, of which only the metadata is read.  The source remembers in the
+query checkpoint which files it has delivered.  Each micro-batch registers
+its files and runs the batch job's own step on them (``silver.process_files``)
+with run id ``stream-<batch id>``, so every payer folder, unknown payers,
+header-only files, bad headers and all rule parameters are treated alike in
+batch and stream, and a file that one of them has processed is not processed
+by the other.  A batch replayed after a failure clears its own leftovers
+first; one replayed after its commit does nothing.
 """
 
 from __future__ import annotations
@@ -17,44 +16,35 @@ from __future__ import annotations
 import datetime as _dt
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..config import DEFAULT, PipelineConfig
-from ..operators import standardize as S
-from ..plans import silver
+from ..plans import bronze, silver
+from ..session import store
+from ..sources import files as FS
 from ..sources.lake import Lake
 
 
-def payer_stream(spark: SparkSession, lake: Lake, payer: str, max_files: int) -> DataFrame:
-    wire = S.wire_columns(payer)
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in wire])
-    raw = (spark.readStream.schema(schema)
-           .option("header", True)
-           .option("enforceSchema", False)
-           .option("recursiveFileLookup", True)
-           .option("pathGlobFilter", "*.csv")
-           .option("maxFilesPerTrigger", max_files)
-           .csv(f"{lake.raw}/provider={payer}"))
-    raw = (raw.withColumn("source_file_path", F.col("_metadata.file_path"))
-              .withColumn("raw_record", F.to_json(F.struct(*[F.col(c) for c in wire]))))
-    return S.to_canonical(raw, payer)
+def arriving_files(spark: SparkSession, lake: Lake, max_files: int) -> DataFrame:
+    return FS.listing(spark.readStream.format("binaryFile").schema(FS.LISTING_SCHEMA)
+                      .option("recursiveFileLookup", True)
+                      .option("pathGlobFilter", "*.csv")
+                      .option("maxFilesPerTrigger", max_files)
+                      .load(lake.raw))
 
 
 def start_ingest(spark: SparkSession, lake: Lake, run_ts: _dt.datetime,
                  cfg: PipelineConfig = DEFAULT, max_files: int = 1000,
                  available_now: bool = True, checkpoint: str | None = None):
-    streams = [payer_stream(spark, lake, p, max_files) for p in S.PAYERS]
-    union = streams[0]
-    for s in streams[1:]:
-        union = union.unionByName(s)
-
     def publish(batch: DataFrame, batch_id: int) -> None:
-        files = batch.select(F.col("source_file_path").alias("file_path"), "payer_name").distinct()
-        silver.process_batch(batch.sparkSession, lake, batch, files,
-                             f"stream-{batch_id:06d}", run_ts, cfg)
-
-    writer = (union.writeStream.foreachBatch(publish)
+        session, run_id = batch.sparkSession, f"stream-{batch_id:06d}"
+        if silver.run_completed(session, lake, run_id):
+            return
+        files = store(batch, "arrived")
+        bronze.register_new_files(session, lake, run_ts, files)
+        todo = silver.unprocessed_files(session, lake).join(files.select("file_path"), "file_path", "left_semi")
+        silver.process_files(session, lake, todo, run_id, run_ts, cfg)
+
+    writer = (arriving_files(spark, lake, max_files).writeStream.foreachBatch(publish)
               .option("checkpointLocation", checkpoint or f"{lake.checkpoints}/stream_ingest"))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")
     return writer.start()

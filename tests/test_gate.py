@@ -2,7 +2,7 @@
 
 import pytest
 
-from payerlake.config import DEFAULT
+from payerlake.config import FIXTURE as DEFAULT
 from payerlake.operators import quality
 
 

@@ -25,6 +25,31 @@ def test_cosine_topk_brute_force(spark):
         assert np.allclose(got[got.query_id == label].sort_values("rank").score, s[order], atol=1e-9)
 
 
+def test_vectors_without_a_score_are_left_out(spark, monkeypatch):
+    rows = [(1, [1.0, 0.0]), (2, [0.0, 0.0]), (3, None), (4, [1.0]), (5, [1.0, 1.0]), (6, [2.0, 0.0])]
+    corpus = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    queries = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 0.0]), (3, [0.0, 1.0]), (4, None)],
+                                    "query_id long, query_vec array<double>")
+    want = [(1, 1, 1, 1.0), (1, 6, 2, 1.0), (3, 5, 1, 0.5**0.5), (3, 1, 2, 0.0)]
+    for values in (1_000_000, 1):  # one block of queries, and a block for each
+        monkeypatch.setattr(retrieval, "BLOCK_VALUES", values)
+        got = sorted((r.query_id, r["rank"], r.item_id, r.score) for r in retrieval.cosine_topk(corpus, queries, 2).collect())
+        assert [(q, i, r) for q, r, i, _ in got] == [(q, i, r) for q, i, r, _ in want]
+        assert np.allclose([s for *_, s in got], [s for *_, s in want])
+    assert retrieval.cosine_topk(corpus, queries.limit(0)).count() == 0
+
+
+def test_terms_with_codes_of_any_length(spark):
+    from payerlake.operators.analytics import claims_by_term
+    claims = spark.createDataFrame([("E11.9", "a", "Approved", 1.0), ("E11", "a", "Denied", 1.0), ("J45.2", "a", "Approved", 1.0),
+                                    (None, "a", "Approved", 1.0)],
+                                   "diagnosis_code string, payer_name string, claim_status string, billed_amount double")
+    terms = spark.createDataFrame([("diabetes", "E11"), ("type two", "E11.9"), ("asthma", "J45.2"), ("asthma", "J4")],
+                                  "term string, icd10_category string")
+    got = {(r.term, r.icd10_category): r.total_claims for r in claims_by_term(claims, terms).collect()}
+    assert got == {("diabetes", "E11"): 2, ("type two", "E11.9"): 1, ("asthma", "J45.2"): 1, ("asthma", "J4"): 1}
+
+
 def test_dedup_keeps_one_latest_per_key(spark):
     import datetime as dt
     rows = [("payer_a", "c1", dt.date(2001, 1, d), f"x{d}") for d in range(1, 28)] * 3 + \

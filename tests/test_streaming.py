@@ -4,7 +4,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from payerlake.config import DEFAULT
+from payerlake.config import FIXTURE as DEFAULT
 from payerlake.sources import files as FS
 from payerlake.sources.claims_fixture import claims_table
 from payerlake.sources.lake import read_quarantine, read_silver

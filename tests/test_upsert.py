@@ -41,14 +41,14 @@ def test_ensure_and_drop_tables(spark):
     assert L.read_silver(spark, lk).count() == 0
     # seeded tables take partitioned writes afterwards
     import datetime as dt
-    from payerlake.config import DEFAULT
+    from payerlake.config import FIXTURE as DEFAULT
     from payerlake.plans import bronze, silver
     from payerlake.sources import files as FS
     from payerlake.sources.claims_fixture import claims_table
     from conftest import SF_SMALL
     FS.write_feeds(claims_table(spark, SF_SMALL), lk.raw, DEFAULT)
     bronze.register_new_files(spark, lk, dt.datetime(2001, 6, 30))
-    silver.run_silver(spark, lk, "run-s", dt.datetime(2001, 6, 30))
+    silver.run_silver(spark, lk, "run-s", dt.datetime(2001, 6, 30), DEFAULT)
     assert L.read_silver(spark, lk).count() + L.read_quarantine(spark, lk).count() == \
         claims_table(spark, SF_SMALL).count()
     with pytest.raises(PermissionError):
