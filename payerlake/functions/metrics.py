@@ -41,10 +41,6 @@ def avg2(c: Column | str) -> Column:
     return F.round(F.avg(c), 2).cast(AVG_T)
 
 
-def count_where(cond: Column) -> Column:
-    return F.count_if(cond)
-
-
 def pct(part: Column, whole: Column) -> Column:
     """round(part * 100.0 / whole, 2) as decimal(5,2); NULL when whole is 0."""
     return F.round(part * F.lit(100.0).cast("decimal(4,1)") / F.nullif(whole, F.lit(0)), 2).cast(RATE_T)

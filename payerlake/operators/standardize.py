@@ -146,18 +146,3 @@ def standardize_all(feeds: dict[str, DataFrame], cfg: PipelineConfig = DEFAULT)
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
-
-
-def wire_projection(claims: DataFrame) -> DataFrame:
-    """What survives the trip through the wire layouts, per payer.
-
-    Feeds A and C carry no admission / discharge dates; feed B has one
-    service date that fills both service_from and service_to.
-    """
-    p = F.col("payer_name")
-    no_adm = p.isin("payer_a", "payer_c")
-    return (claims
-            .withColumn("admission_date", F.when(~no_adm, F.col("admission_date")))
-            .withColumn("discharge_date", F.when(~no_adm, F.col("discharge_date")))
-            .withColumn("service_to_date", F.when(p == "payer_b", F.col("service_from_date"))
-                        .otherwise(F.col("service_to_date"))))

@@ -21,9 +21,3 @@ def read_table(spark: SparkSession, sf_dir: str, name: str,
                columns: list[str] | None = None) -> DataFrame:
     df = spark.read.parquet(table_path(sf_dir, name))
     return df.select(*columns) if columns else df
-
-
-def register_views(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
-    """Expose the input tables to ``spark.sql`` under their own names."""
-    for n in names:
-        read_table(spark, sf_dir, n).createOrReplaceTempView(n)
