@@ -19,7 +19,6 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -40,6 +39,7 @@ COMMON_WORDS = {
     "es": "de la que el en y a los se del las un por con no una su para es al lo como más o pero sus le",
 }
 LISTED = sorted({w for words in COMMON_WORDS.values() for w in words.split()})
+SYMBOLS = "#*$%&|<>"
 # Characters of one class after the other are taken out of the text; what stays is the last class.
 CLASSES = (("lower", r"\p{Ll}+"), ("white", SPLIT), ("upper", r"\p{Lu}+"), ("stop", r"[.,;:!?'\"()-]+"),
            ("digit", r"\p{N}+"), ("symbol", r"[#*$%&|<>=+~^@\\/_]+"))
@@ -63,16 +63,23 @@ def _repeated_words(words: Column) -> Column:
                          | F.get(ordered, i + 1)["h"].eqNullSafe(w["h"]))
         return F.array_sort(F.transform(again, lambda w: w["at"]))
 
-    def count(windows: Column) -> Column:
-        distinct = F.size(F.array_distinct(F.transform(windows, lambda w: w["h"])))
-        return F.when(distinct < F.size(windows),
-                      _let(F.array_sort(windows), lambda ordered: _let(starts(ordered), covered))).otherwise(0)
+    def count(hashes: Column) -> Column:
+        # Most texts repeat nothing, and need no places.
+        placed = F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("at")))
+        return F.when(F.size(F.array_distinct(hashes)) < F.size(hashes),
+                      _let(F.array_sort(placed), lambda ordered: _let(starts(ordered), covered))).otherwise(0)
 
-    def windows(own: Column) -> Column:
-        return F.transform(F.sequence(F.lit(1), F.size(own) - (WINDOW - 1)), lambda i: F.struct(
-            F.xxhash64(F.slice(own, i, F.lit(WINDOW))).alias("h"), i.alias("at")))
+    def doubled(size: int) -> Callable[[Column], Column]:
+        """Hashes of windows of 2 * size words from those of size words."""
+        def pair(h: Column) -> Column:
+            n = F.size(h) - size
+            return F.zip_with(F.slice(h, F.lit(1), n), F.slice(h, F.lit(1 + size), n), lambda a, b: F.xxhash64(a, b))
+        return pair
 
-    return F.when(F.size(words) > WINDOW, _let(words, lambda own: _let(windows(own), count))).otherwise(0)
+    hashes = F.transform(words, lambda w: F.xxhash64(w))
+    for size in (1, 2, 4):  # WINDOW / 2, / 4 and so on
+        hashes = _let(hashes, doubled(size))
+    return F.when(F.size(words) > WINDOW, _let(hashes, count)).otherwise(0)
 
 
 def _histogram(words: Column) -> Column:
@@ -97,18 +104,21 @@ def measures(docs: DataFrame, key: str, text: str, language: str, whole: bool) -
                        F.filter(F.split(t, "\n"), lambda x: F.length(F.btrim(x, F.lit(WHITE))) > 0).alias("lines"))
     rows = rows.select(
         "key", "language", "row", "text", F.size("words").cast("long").alias("n_words"),
-        F.length(F.translate("text", WHITE, "")).cast("long").alias("word_chars"),
-        (F.length("text") - F.length(F.translate("text", "#*$%&|<>", ""))).cast("long").alias("n_symbols"),
+        F.length("text").alias("n_chars"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         _repeated_words(F.col("words")).cast("long").alias("n_repeat_words"),
         _histogram(F.col("words")).alias("common"))
     kept = [c for c in rows.columns if c != "text"]
     for name, pattern in CLASSES:
         rows = rows.withColumn("less", F.regexp_replace("text", pattern, ""))
-        rows = rows.select(*kept, (F.length("text") - F.length("less")).alias(name), F.col("less").alias("text"))
-        kept.append(name)
+        counts = [(F.length("text") - F.length("less")).alias(name)]
+        if name == "symbol":  # what is left holds all of them
+            counts.append((F.length("text") - F.length(F.translate("text", SYMBOLS, ""))).cast("long").alias("n_symbols"))
+        rows = rows.select(*kept, *counts, F.col("less").alias("text"))
+        kept += [name, "n_symbols"] if name == "symbol" else [name]
     names = [n for n, _ in CLASSES]
-    return rows.select(*(c for c in kept if c not in names),
+    return rows.select(*(c for c in kept if c not in (*names, "n_chars")),
+                       (F.col("n_chars") - F.col("white")).cast("long").alias("word_chars"),
                        F.array(*names, F.length("text")).cast("array<long>").alias("classes"))
 
 
@@ -173,7 +183,7 @@ def judge(docs: DataFrame, key: str = "doc_id", text: str = "text", language: st
     listed = F.aggregate("common.counts", F.lit(0).cast("long"), lambda s, x: s + x)
 
     def nearest(distances: list[Column]) -> Column:
-        return reduce(lambda a, b: F.when(a < b, a).otherwise(b), distances) if distances else F.lit(None).cast("double")
+        return F.least(*distances, F.lit(None).cast("double")) if distances else F.lit(None).cast("double")
 
     rows = measured.select(
         "*", nearest([class_distance(F.col("classes"), c) for c, _ in known.values()]).alias("class_distance"),
