@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._util import small_batches
+from ._util import hash_sample, small_batches
 
 TRAIN_ROWS, TRAIN_BYTES = 4000, 512
 WINDOW, EMBED, FILTERS, WIDTHS = 128, 6, 12, (2, 3, 4)  # the widest is even: bytes are looked up in pairs
@@ -144,7 +144,7 @@ def fit(labelled: DataFrame, key: str, text: str, label: str, rows: int = TRAIN_
     """A network from at most ``rows`` rows with a text and a label, or None without any."""
     place = F.xxhash64(F.col(key))
     size = F.greatest(F.length(text) - TRAIN_BYTES, F.lit(1))
-    sample = (labelled.filter(F.col(text).rlike(r"\p{L}") & F.col(label).isNotNull())
+    sample = (hash_sample(labelled.filter(F.col(label).isNotNull()), key, rows).filter(F.col(text).rlike(r"\p{L}"))
               .select(F.substr(text, (F.pmod(place, size) + 1).cast("int"), F.lit(TRAIN_BYTES)).alias("text"),
                       F.col(label).alias("label"), place.alias("place"))
               .orderBy("place", "text").limit(rows).select("text", "label").toArrow())
