@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._util import small_batches, text_or_empty
+from ._util import hash_sample, small_batches, text_or_empty
 
 TRAIN_ROWS, TRAIN_CHARS = 5000, 20_000
 TERMS, MIN_DOCS, MIN_LIFT, STRONG_LIFT = 64, 5, 8.0, 20.0
@@ -156,21 +156,24 @@ class Automaton:
         return found
 
 
-def learn_terms(texts: list[list[str]], toxic: np.ndarray) -> list[tuple[str, bool]]:
+def terms_of(text: str) -> set[tuple[str, bool]]:
+    """A text's words, and the stems that begin them."""
+    words = {bare(w) for w in set(text.split())}
+    own = {(w, False) for w in words if len(w) >= STEM[0]}
+    return own | {(w[:n], True) for w, _ in own for n in STEM if len(w) > n}
+
+
+def learn_terms(texts: list[str], toxic: np.ndarray) -> list[tuple[str, bool]]:
     """Words and stems by what each explains of the toxic texts not yet explained (log-likelihood gain)."""
     docs: dict[tuple[str, bool], list[int]] = defaultdict(list)
     toxic_terms: Counter = Counter()
-    shapes = []
-    for words in texts:
-        own = {(w, False) for w in words if len(w) >= STEM[0]}
-        own |= {(w[:n], True) for w, _ in own for n in STEM if len(w) > n}
-        shapes.append(own)
-    for own, t in zip(shapes, toxic, strict=True):
+    for text, t in zip(texts, toxic, strict=True):
         if t:
-            toxic_terms.update(own)
+            toxic_terms.update(terms_of(text))
     candidates = {t for t, n in toxic_terms.items() if n >= MIN_DOCS}
-    for i, own in enumerate(shapes):
-        for t in own & candidates:
+    del toxic_terms
+    for i, text in enumerate(texts):
+        for t in terms_of(text) & candidates:
             docs[t].append(i)
     posting = {t: np.array(d) for t, d in docs.items()}
     left, chosen = np.ones(len(toxic), bool), []
@@ -243,10 +246,9 @@ class Scorer:
 
 def fit(texts: list[str], toxic: np.ndarray) -> Scorer:
     """Lexicon, hit weights and regression from labelled texts; with nothing to learn all score low."""
-    words = [t.split() for t in texts]
-    terms = learn_terms([[bare(w) for w in set(ws)] for ws in words], toxic) if len(texts) else []
+    terms = learn_terms(texts, toxic) if len(texts) else []
     automaton = Automaton(terms)
-    hits = find_hits(automaton, words)
+    hits = [h for lo in range(0, len(texts), 200) for h in find_hits(automaton, [t.split() for t in texts[lo:lo + 200]])]
     # Log odds of a text being toxic by its having a hit of this kind.
     n = 2 * max(len(terms), 1)
     seen = np.zeros((2, n))
@@ -260,7 +262,7 @@ def fit(texts: list[str], toxic: np.ndarray) -> Scorer:
     model = Scorer(automaton, weights, PRIOR.copy(), -3.0)
     if not len(texts):
         return model
-    x = np.array([model.features(ws, h) for ws, h in zip(words, hits, strict=True)])
+    x = np.array([model.features(t.split() if h else [], h) for t, h in zip(texts, hits, strict=True)])
     model.coefficients, model.bias = regress(x, toxic.astype(float))
     return model
 
@@ -304,8 +306,8 @@ def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     The sample is drawn from the labels by a hash of the key, so that only it meets the texts.
     Null keys, labels and texts are left out; of repeated labels the highest counts.
     """
-    sample = (labels.filter(F.col(key).isNotNull() & F.col(label).isNotNull())
-              .groupBy(key).agg(F.max(label).cast("int").alias("label"))
+    known = labels.filter(F.col(key).isNotNull() & F.col(label).isNotNull())
+    sample = (hash_sample(known, key, rows).groupBy(key).agg(F.max(label).cast("int").alias("label"))
               .orderBy(F.xxhash64(key), key).limit(rows))
     short = docs.filter(F.length(text) <= TRAIN_CHARS).select(key, F.col(text).alias("text"))
     # At most ``rows`` keys and labels.
