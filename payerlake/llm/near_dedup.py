@@ -9,11 +9,13 @@
    as it is while it has at most ``REGION`` classes, and deepened by one minimum at a time, region
    by region, where it has more; equal sequences beyond that go in windows of REGION.
 3. Inside a region whole signatures are compared. Each class proposes its ``PARTNERS`` most
-   similar classes and the region's ``HUBS`` most linked ones, so a region proposes a number of
-   pairs in proportion to its classes; members of a group reach each other through its centre.
+   similar classes and the region's ``HUBS`` most linked ones, so members of a group reach each
+   other through its centre, and says if it has likely partners that no one proposed.
 4. Proposed pairs are confirmed on the full shingle sets, and confirmed links joined to
-   components. Classes of a proposing pair that stayed apart go through 3 once more against the
-   other components of their regions (``ROUNDS``), which finds the links a first choice hid.
+   components. Classes with likely partners left go through 3 again, against other components only
+   and with ``MORE`` times as many partners, until none is left: every likely pair of a region is
+   confirmed, or lies within one component. In the second round the classes of refused pairs take
+   part as well, as regions of fewer classes are wider.
 
 All parameters are fixed numbers; nothing depends on the input's size.
 """
@@ -32,9 +34,8 @@ from ._util import small_batches, store, text_or_empty
 from .components import components
 
 HASHES, TREES, DEPTH, MIN_DEPTH = 128, 8, 8, 2
-REGION, PARTNERS, HUBS = 512, 4, 3
+REGION, PARTNERS, MORE, HUBS = 512, 4, 4, 3
 BLOCK, OVERLAP = 8192, 256
-ROUNDS = 2
 # Similarity is estimated from the minima's low bytes; a pair is proposed from this far below the limit.
 MARGIN = 0.15
 SPAN_BYTES = 4_000_000
@@ -193,8 +194,11 @@ def forest(classes: DataFrame) -> DataFrame:
             .mapInArrow(run, "tree int, key binary, id long, n long, component long, low binary"))
 
 
-def _propose_region(ids, n, component, low, limit: float) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of one region: partners of every class by estimated similarity, and the region's hubs."""
+def _propose_region(ids, n, component, low, limit: float, partners: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of one region: partners of every class by estimated similarity, and the region's hubs.
+
+    A class with likely partners beyond those is paired with itself.
+    """
     m = len(ids)
     if (component == component[0]).all():
         return []
@@ -205,19 +209,17 @@ def _propose_region(ids, n, component, low, limit: float) -> list[tuple[np.ndarr
     ratio = np.minimum(n[:, None], n) / np.maximum(n[:, None], n)
     likely[(ratio < limit) | (component[:, None] == component)] = 0
     likely[likely < limit - MARGIN] = 0
-    if m <= PARTNERS + 1:
+    if m <= partners + 1:
         a, b = np.nonzero(np.triu(likely))
         return [(ids[a], ids[b])]
     degree = (likely >= limit).sum(axis=1) + likely.sum(axis=1) / (2 * m)
-    out = []
-    for hub in np.argsort(-degree, kind="stable")[:HUBS]:
-        near = np.flatnonzero(likely[hub])
-        out.append((np.full(len(near), ids[hub]), ids[near]))
-    best = np.argpartition(-likely, PARTNERS - 1, axis=1)[:, :PARTNERS]
-    rows = np.repeat(np.arange(m), PARTNERS)
-    kept = likely[rows, best.ravel()] > 0
-    out.append((ids[rows[kept]], ids[best.ravel()[kept]]))
-    return out
+    chosen = np.zeros((m, m), bool)
+    chosen[np.argsort(-degree, kind="stable")[:HUBS]] = True
+    chosen[np.arange(m)[:, None], np.argpartition(-likely, partners - 1, axis=1)[:, :partners]] = True
+    chosen |= chosen.T
+    a, b = np.nonzero(np.triu(chosen & (likely > 0)))
+    left = ids[((likely > 0) & ~chosen).any(axis=1)]
+    return [(ids[a], ids[b]), (left, left)]
 
 
 def _regions(prefix: np.ndarray, lo: int, hi: int, depth: int) -> Iterator[tuple[int, int]]:
@@ -236,8 +238,8 @@ def _regions(prefix: np.ndarray, lo: int, hi: int, depth: int) -> Iterator[tuple
             yield from _regions(prefix, a, b, depth + 1)
 
 
-def propose(trees: DataFrame, limit: float) -> DataFrame:
-    """Candidate pairs a < b of classes, from sorted ranges of the forest's orders."""
+def propose(trees: DataFrame, limit: float, partners: int = PARTNERS) -> DataFrame:
+    """Candidate pairs a < b of classes, from sorted ranges of the forest's orders; a = b has more."""
     def block(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
         table = pa.Table.from_batches(rows)
         ids, n, component = (table.column(c).to_numpy() for c in ("id", "n", "component"))
@@ -250,7 +252,7 @@ def propose(trees: DataFrame, limit: float) -> DataFrame:
         found = [(np.zeros(0, np.int64),) * 2]
         for a, b in zip(cuts, cuts[1:], strict=False):
             for lo, hi in _regions(prefix, a, b, MIN_DEPTH):
-                found += _propose_region(ids[lo:hi], n[lo:hi], component[lo:hi], low[lo:hi], limit)
+                found += _propose_region(ids[lo:hi], n[lo:hi], component[lo:hi], low[lo:hi], limit, partners)
         a, b = (np.concatenate(x) for x in zip(*found, strict=True))
         a, b = np.minimum(a, b), np.maximum(a, b)
         pairs = np.unique(np.stack([a, b]), axis=1)
@@ -270,7 +272,7 @@ def propose(trees: DataFrame, limit: float) -> DataFrame:
             yield block(held)
 
     return (trees.repartitionByRange("tree", "key", "id").sortWithinPartitions("tree", "key", "id")
-            .mapInArrow(run, "a long, b long").filter("a <> b").distinct())
+            .mapInArrow(run, "a long, b long").distinct())
 
 
 def confirm(pairs: DataFrame, docs: DataFrame, key: str, text: str, width: int, percent: int) -> DataFrame:
@@ -299,22 +301,28 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     classes = store(named.groupBy("h1", "h2", "n").agg(F.min("id").alias("rep")), "classes")
     reps = store(named.join(classes.select(F.col("rep").alias("id")), "id", "left_semi").select("id", "n", "sig"),
                  "representatives")
-    todo, tested, links = reps.withColumn("component", F.col("id")), None, None
-    for again in range(ROUNDS):
-        pairs = propose(forest(todo), limit)
-        pairs = store(pairs.join(tested, ["a", "b"], "left_anti") if again else pairs, "pairs")
+    todo, tested, links, partners = reps.withColumn("component", F.col("id")), None, None, PARTNERS
+    while True:
+        again = tested is not None
+        proposed = store(propose(forest(todo), limit, partners), "proposed")
+        pairs = proposed.filter("a <> b")
+        pairs = store(pairs.join(tested, ["a", "b"], "left_anti"), "pairs") if again else pairs
         tested = tested.unionAll(pairs) if again else pairs
         found = store(confirm(pairs, docs, key, text, width, percent), "confirmed")
         links = links.unionAll(found) if again else found
         groups = store(components(links), "components")
-        if again + 1 < ROUNDS:
+        ids = proposed.filter("a = b").select(F.col("a").alias("id"))
+        if not again:
             a, b = (groups.withColumnsRenamed({"node": x, "component": f"of_{x}"}) for x in "ab")
             apart = (pairs.join(a, "a", "left").join(b, "b", "left")
                      .filter(F.coalesce("of_a", "a") != F.coalesce("of_b", "b")))
-            ids = apart.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-            todo = store(reps.join(ids, "id", "left_semi")
-                         .join(groups.withColumnRenamed("node", "id"), "id", "left")
-                         .select("id", "n", "sig", F.coalesce("component", "id").alias("component")), "apart")
+            ids = ids.unionAll(apart.select(F.explode(F.array("a", "b")).alias("id"))).distinct()
+        todo = store(reps.join(ids, "id", "left_semi")
+                     .join(groups.withColumnRenamed("node", "id"), "id", "left")
+                     .select("id", "n", "sig", F.coalesce("component", "id").alias("component")), "left")
+        if todo.isEmpty():
+            break
+        partners *= MORE  # beyond a region's size after a few rounds, so that none can be left
     of_class = (classes.join(groups.withColumnRenamed("node", "rep"), "rep", "left")
                 .select("h1", "h2", "n", F.coalesce("component", "rep").alias("component")))
     out = sig.drop("sig").join(of_class, ["h1", "h2", "n"], "left")

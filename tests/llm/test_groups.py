@@ -156,6 +156,24 @@ def test_near_duplicates_equal_all_pairs(spark, groups, monkeypatch):
         assert r.kept == (r.doc_id == r.component_id)
 
 
+def family(rng, size, edits, pairs, shared, words=1000):
+    """Texts on one template, each with own edits; the first ``pairs`` texts share edits with the next ones."""
+    template = [f"t{i}" for i in range(words)]
+    made = [{slot: f"e{k}x{slot}" for slot in rng.sample(range(2, words, 5), edits)} for k in range(size)]
+    for k in range(pairs):
+        made[pairs + k] = dict([*made[k].items()][:shared] + [*made[pairs + k].items()][shared:])
+    return [" ".join(own.get(i, t) for i, t in enumerate(template)) for own in made]
+
+
+def test_links_behind_many_closer_looking_ones(spark):
+    texts = family(random.Random(11), 120, 10, 30, 3)  # most pairs are at 0.80 to 0.84, the planted ones at 0.87
+    rows = list(enumerate(texts))
+    want = near_components(rows)
+    assert 30 < len(set(want.values())) < 110
+    got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.component_id for r in got} == want
+
+
 def test_near_duplicates_of_odd_rows(spark):
     df = odd_rows(spark)
     got = near_duplicates(df).collect()
