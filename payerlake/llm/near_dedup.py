@@ -6,8 +6,10 @@
    range-partitioned over the whole sequence and the id, so that a group of copies spreads over
    as many tasks as it needs. In each order a task streams its range and finds the neighbours
    with the longest common prefixes: a region of classes that share ``MIN_DEPTH`` minima is taken
-   as it is while it has at most ``REGION`` classes, and deepened by one minimum at a time, region
-   by region, where it has more; equal sequences beyond that go in windows of REGION.
+   as it is while it has at most ``REGION`` classes. One that has more is taken in windows of REGION
+   that overlap by half, so that each class meets the 256 before it and the 256 after it in the
+   order, and is deepened by one minimum at a time where a deeper region is larger than a window's
+   overlap. The trees' sequences have no minimum in common and use all of them.
 3. Inside a region whole signatures are compared. Each class proposes its ``PARTNERS`` most
    similar classes and the region's ``HUBS`` most linked ones, so members of a group reach each
    other through its centre, and says if it has likely partners that no one proposed.
@@ -33,9 +35,9 @@ from pyspark.sql import functions as F
 from ._util import small_batches, store, text_or_empty
 from .components import components
 
-HASHES, TREES, DEPTH, MIN_DEPTH = 128, 8, 8, 2
+HASHES, TREES, DEPTH, MIN_DEPTH = 128, 8, 16, 2
 REGION, PARTNERS, MORE, HUBS = 512, 4, 4, 3
-BLOCK, OVERLAP = 8192, 256
+BLOCK, OVERLAP = 8192, 512
 # Similarity is estimated from the minima's low bytes; a pair is proposed from this far below the limit.
 MARGIN = 0.15
 SPAN_BYTES = 4_000_000
@@ -222,20 +224,25 @@ def _propose_region(ids, n, component, low, limit: float, partners: int) -> list
     return [(ids[a], ids[b]), (left, left)]
 
 
-def _regions(prefix: np.ndarray, lo: int, hi: int, depth: int) -> Iterator[tuple[int, int]]:
-    """Cut rows lo..hi, which share depth minima, into regions; prefix[i]: minima i-1 and i share."""
+def _regions(prefix: np.ndarray, lo: int, hi: int, depth: int, windows: bool = True) -> Iterator[tuple[int, int]]:
+    """Cut rows lo..hi, which share depth minima, into regions; prefix[i]: minima i-1 and i share.
+
+    ``windows``: no windows go over these rows yet.
+    """
+    step = REGION // 2
     if hi - lo < 2:
         return
     if hi - lo <= REGION:
         yield lo, hi
-    elif depth == DEPTH:
-        step = REGION // 2
+        return
+    if windows:
         for at in range(lo, hi - step, step):
             yield at, min(at + REGION, hi)
-    else:
+    if depth < DEPTH:
         cuts = lo + 1 + np.flatnonzero(prefix[lo + 1:hi] <= depth)
         for a, b in zip([lo, *cuts], [*cuts, hi], strict=True):
-            yield from _regions(prefix, a, b, depth + 1)
+            if b - a > step:  # else it lies in a window
+                yield from _regions(prefix, a, b, depth + 1, False)
 
 
 def propose(trees: DataFrame, limit: float, partners: int = PARTNERS) -> DataFrame:

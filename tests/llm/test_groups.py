@@ -174,6 +174,35 @@ def test_links_behind_many_closer_looking_ones(spark):
     assert {r.doc_id: r.component_id for r in got} == want
 
 
+def test_large_regions_leave_no_class_without_neighbours():
+    rng = np.random.default_rng(4)
+    keys = rng.choice(4, (3000, near_dedup.DEPTH), p=[0.7, 0.1, 0.1, 0.1])
+    keys[500:1700] = keys[500]  # and equal sequences
+    keys = keys[np.lexsort(keys.T[::-1])]
+    prefix = np.r_[0, np.cumprod(keys[1:] == keys[:-1], axis=1).sum(axis=1)]
+    met = [set() for _ in keys]
+    for lo, hi in near_dedup._regions(prefix, 0, len(keys), 0):
+        assert 2 <= hi - lo <= near_dedup.REGION
+        for i in range(lo, hi):
+            met[i].add((lo, hi))
+    for i in range(len(keys)):
+        for j in (max(0, i - 256), min(len(keys) - 1, i + 256)):
+            assert any(lo <= j < hi for lo, hi in met[i])
+
+
+def test_equal_leading_minima_are_ordered_by_further_ones(spark):
+    rng = np.random.default_rng(6)
+    sig = rng.integers(0, 2**32, (1, near_dedup.HASHES), dtype=np.uint32).repeat(40, axis=0)
+    kinds = rng.permutation(40) % 2  # two kinds, alike in the first 8 minima of each tree's sequence
+    rest = np.arange(near_dedup.HASHES) % near_dedup.DEPTH >= 8
+    sig[np.ix_(kinds == 1, rest)] += np.uint32(1)
+    rows = [(i, 100, bytearray(s.tobytes()), i) for i, s in enumerate(sig)]
+    df = spark.createDataFrame(rows, "id long, n long, sig binary, component long")
+    for t in range(near_dedup.TREES):
+        order = [kinds[r.id] for r in near_dedup.forest(df).filter(F.col("tree") == t).orderBy("key", "id").collect()]
+        assert sum(a != b for a, b in zip(order, order[1:], strict=False)) == 1
+
+
 def test_near_duplicates_of_odd_rows(spark):
     df = odd_rows(spark)
     got = near_duplicates(df).collect()
