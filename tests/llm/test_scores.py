@@ -68,6 +68,21 @@ def test_texts_unlike_every_reference_go(spark):
     assert all(got[i].class_distance < 0.05 and got[i].word_distance < 0.05 for i in range(20))
 
 
+def test_long_texts_without_function_words_go(spark):
+    plain = "The river was wide, and the boat went over it in the morning to the town that is on the other side. "
+    names = [a + b for a in ("Riv", "Bo", "Morn", "Tow", "Sid", "Wid") for b in ("er", "at", "ing", "el", "en", "ol", "us")]
+    rng = random.Random(8)
+    rows = [(i, plain + str(i), "en") for i in range(20)]
+    rows += [(100 + i, " ".join(rng.choice(names).lower() + rng.choice(["", "", "", ",", "."]) for _ in range(n)), None)
+             for i, n in enumerate((200, 1200))]
+    rows += [(200, plain, None)]  # short, and plain
+    got = {r.doc_id: r for r in judge(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    for i in (100, 101):
+        assert not got[i].base_failed and got[i].class_distance < 0.3
+        assert got[i].word_distance > 0.4 and not got[i].kept
+    assert all(got[i].kept for i in (*range(20), 200))
+
+
 def test_distances_equal_the_formula(spark):
     rng = np.random.default_rng(3)
     p, q = rng.random(3), rng.random(4)
