@@ -4,8 +4,8 @@ Base findings are leftmost, non-overlapping matches of three patterns, with mini
 applied afterwards. The method looks at candidates: every base finding's value, and every long
 run of key characters with enough digits and letters that overlaps no base finding. Over the
 whole corpus, a candidate's hash is counted by distinct repositories and distinct owners. A value
-that ``EXAMPLE_OWNERS`` or more owners share is a copied example; one that stays with fewer owners
-looks live. Base findings stay either way, with that verdict; of the other candidates only the
+that ``EXAMPLE_OWNERS`` or more owners share, or that lies in ``EXAMPLE_REPOSITORIES`` or more
+repositories of whatever owners, is a copied example; one below both limits looks live. Base findings stay either way, with that verdict; of the other candidates only the
 live ones become findings, of kind ``owned``.
 
 A text is read once: its findings (a few dozen bytes each) are stored, and only they are
@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from ._util import store, text_or_empty
 
-EXAMPLE_OWNERS = 3
+EXAMPLE_OWNERS, EXAMPLE_REPOSITORIES = 3, 10
 MIN_DIGITS, MIN_LETTERS = 4, 4
 
 # The base patterns. Of a run of hex digits or of capitals and digits, asking for the
@@ -88,8 +88,8 @@ def find_secrets(docs: DataFrame, key: str = "doc_id", text: str = "text", owner
     """key and findings per row of ``docs``: an array, by start and kind, of structs with start, rank,
     kind, end (code points, end exclusive), hash (md5 of the value), owners, repositories and live.
 
-    Null and empty texts have no findings. A null owner or repository counts as none, so a value
-    held only by such rows has no owners and looks live. Only the named columns are read; repeated
+    Null and empty texts have no findings. A null owner or repository counts as none; a value of rows
+    without owners is judged by its repositories alone. Only the named columns are read; repeated
     rows stay repeated; an empty table gives an empty one.
     """
     found = store(candidates(docs, key, text, owner, repository), "secrets")
@@ -97,7 +97,8 @@ def find_secrets(docs: DataFrame, key: str = "doc_id", text: str = "text", owner
     counts = (each.groupBy(F.col("span.hash").alias("hash"))
               .agg(F.count_distinct("owner").alias("owners"), F.count_distinct("repository").alias("repositories")))
     judged = (each.select("row", "span", F.col("span.hash").alias("hash")).join(counts, "hash")
-              .withColumn("live", F.col("owners") < EXAMPLE_OWNERS)
+              .withColumn("live", (F.col("owners") < EXAMPLE_OWNERS)
+                          & (F.col("repositories") < EXAMPLE_REPOSITORIES))
               .filter((F.col("span.rank") < len(KINDS)) | F.col("live"))
               .select("row", F.struct("span.start", "span.rank", "span.kind", "span.end", "span.hash", "owners",
                                       "repositories", "live").alias("finding")))

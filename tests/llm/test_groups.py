@@ -320,6 +320,16 @@ def test_widely_copied_values_are_examples(spark):
     assert [(f.kind, f.live, f.owners) for f in got[2001]] == [("assign", True, 0)]
 
 
+def test_values_copied_within_one_source_or_none_are_examples(spark):
+    one, none, few = "x9Y8z7W6v5U4t3S2r1Q0p9O8", "q1W2e3R4t5Y6u7I8o9P0a1S2", "m1N2b3V4c5X6z7L8k9J0h1G2"
+    rows = [(i, f"key {one} end", "s1") for i in range(50)] + [(100 + i, f"token = {none}", None) for i in range(10)]
+    rows += [(200 + i, f"key {few}", None) for i in range(9)]
+    got = {r.doc_id: r.findings for r in find_secrets(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    assert got[0] == []
+    assert [(f.kind, f.owners, f.repositories, f.live) for f in got[100]] == [("assign", 0, 10, False)]
+    assert [(f.kind, f.owners, f.repositories, f.live) for f in got[200]] == [("owned", 0, 9, True)]
+
+
 def test_minima_estimate_similarity():
     rng = np.random.default_rng(1)
     a = rng.integers(0, 2**63, 4000).astype(np.uint64)
