@@ -10,14 +10,18 @@
    that overlap by half, so that each class meets the 256 before it and the 256 after it in the
    order, and is deepened by one minimum at a time where a deeper region is larger than a window's
    overlap. The trees' sequences have no minimum in common and use all of them.
-3. Inside a region whole signatures are compared. Each class proposes its ``PARTNERS`` most
-   similar classes and the region's ``HUBS`` most linked ones, so members of a group reach each
-   other through its centre, and says if it has likely partners that no one proposed.
-4. Proposed pairs are confirmed on the full shingle sets, and confirmed links joined to
-   components. Classes with likely partners left go through 3 again, against other components only
-   and with ``MORE`` times as many partners, until none is left: every likely pair of a region is
-   confirmed, or lies within one component. In the second round the classes of refused pairs take
-   part as well, as regions of fewer classes are wider.
+3. Inside a region whole signatures are compared, and each class proposes its ``PARTNERS`` most
+   similar classes and says if it has further likely ones. Proposed pairs are confirmed on the full
+   shingle sets, and confirmed links joined to components.
+4. What is left is decided region by region: the classes that said so form the orders again, and
+   each region sends the classes that have likely partners in other components to one group, with
+   their full sets. There all pairs of the region's classes are decided at once (a product of the
+   classes' shingle table with itself), and only the links to each class's smallest reachable one
+   come out. A class is shipped once a region and never once a pair, so the work of a family of
+   similar texts grows with its classes, also where no pair of them is a link.
+5. Where more than ``REGION`` classes share ``MIN_DEPTH`` minima, two classes need not meet in one
+   of ``TREES`` orders. Such crowds go through 4 again with ``TREES`` further orders, other sequences
+   of the same minima; a crowd of REGION * CROWD ** r classes gets r + 1 further batches of orders.
 
 All parameters are fixed numbers; nothing depends on the input's size.
 """
@@ -36,11 +40,13 @@ from ._util import small_batches, store, text_or_empty
 from .components import components
 
 HASHES, TREES, DEPTH, MIN_DEPTH = 128, 8, 16, 2
-REGION, PARTNERS, MORE, HUBS = 512, 4, 4, 3
+REGION, PARTNERS, CROWD = 512, 3, 2
 BLOCK, OVERLAP = 8192, 512
 # Similarity is estimated from the minima's low bytes; a pair is proposed from this far below the limit.
 MARGIN = 0.15
 SPAN_BYTES = 4_000_000
+# Shingles of the classes decided in one group; classes of more are dealt out by pairs of parts.
+VOLUME, COLUMNS = 4_000_000, 4096
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(int(_ODD), -1, 2**64))
@@ -177,33 +183,36 @@ def full_sets(docs: DataFrame, key: str, text: str, width: int) -> DataFrame:
             .mapInArrow(run, "id long, shingles array<long>"))
 
 
-def forest(classes: DataFrame) -> DataFrame:
+def sequences(batch: int) -> np.ndarray:
+    """The minima of each tree's sequence, trees x DEPTH; all minima, in another deal each batch."""
+    deal = np.random.default_rng(batch).permutation(HASHES) if batch else np.arange(HASHES)
+    return deal.reshape(TREES, DEPTH)
+
+
+def forest(classes: DataFrame, batch: int = 0) -> DataFrame:
     """One row per class and tree: the tree's minima as sortable bytes, and the signature's low bytes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
+        for rows in batches:
+            if not rows.num_rows:
                 continue
-            sig = np.frombuffer(b"".join(batch.column(2).to_pylist()), "<u4").reshape(-1, HASHES)
+            sig = np.frombuffer(b"".join(rows.column(2).to_pylist()), "<u4").reshape(-1, HASHES)
             low = pa.array([r.tobytes() for r in sig.astype(np.uint8)], pa.binary())
-            for t in range(TREES):
-                keys = sig[:, t * DEPTH:(t + 1) * DEPTH].astype(">u4")
+            for t, of in enumerate(sequences(batch)):
+                keys = sig[:, of].astype(">u4")
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(len(sig), t, np.int32)), pa.array([k.tobytes() for k in keys], pa.binary()),
-                     batch.column(0), batch.column(1), batch.column(3), low],
+                     rows.column(0), rows.column(1), rows.column(3), low],
                     ["tree", "key", "id", "n", "component", "low"])
 
     return (classes.select("id", "n", "sig", "component")
             .mapInArrow(run, "tree int, key binary, id long, n long, component long, low binary"))
 
 
-def _propose_region(ids, n, component, low, limit: float, partners: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of one region: partners of every class by estimated similarity, and the region's hubs.
-
-    A class with likely partners beyond those is paired with itself.
-    """
-    m = len(ids)
+def _likely(n, component, low, limit: float) -> np.ndarray | None:
+    """Estimated similarity of the classes of a region, 0 where it is far below the limit or of one component."""
+    m = len(n)
     if (component == component[0]).all():
-        return []
+        return None
     same = np.empty((m, m), np.float32)
     for i in range(m):
         same[i] = (low == low[i]).sum(axis=1)
@@ -211,17 +220,41 @@ def _propose_region(ids, n, component, low, limit: float, partners: int) -> list
     ratio = np.minimum(n[:, None], n) / np.maximum(n[:, None], n)
     likely[(ratio < limit) | (component[:, None] == component)] = 0
     likely[likely < limit - MARGIN] = 0
-    if m <= partners + 1:
+    return likely
+
+
+def _propose_region(ids, n, component, low, limit: float) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Each class's best partners by estimated similarity; a class that has more is paired with itself."""
+    likely = _likely(n, component, low, limit)
+    if likely is None:
+        return []
+    m = len(ids)
+    if m <= PARTNERS + 1:
         a, b = np.nonzero(np.triu(likely))
-        return [(ids[a], ids[b])]
-    degree = (likely >= limit).sum(axis=1) + likely.sum(axis=1) / (2 * m)
+        return [(np.minimum(ids[a], ids[b]), np.maximum(ids[a], ids[b]))]
     chosen = np.zeros((m, m), bool)
-    chosen[np.argsort(-degree, kind="stable")[:HUBS]] = True
-    chosen[np.arange(m)[:, None], np.argpartition(-likely, partners - 1, axis=1)[:, :partners]] = True
+    chosen[np.arange(m)[:, None], np.argpartition(-likely, PARTNERS - 1, axis=1)[:, :PARTNERS]] = True
     chosen |= chosen.T
     a, b = np.nonzero(np.triu(chosen & (likely > 0)))
     left = ids[((likely > 0) & ~chosen).any(axis=1)]
-    return [(ids[a], ids[b]), (left, left)]
+    return [(np.minimum(ids[a], ids[b]), np.maximum(ids[a], ids[b])), (left, left)]
+
+
+def _gather_region(ids, n, component, low, limit: float) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(group, class) of the classes with likely partners in other components, as one group or,
+    beyond VOLUME shingles, as a group of every two parts."""
+    likely = _likely(n, component, low, limit)
+    if likely is None:
+        return []
+    chosen = np.flatnonzero(likely.any(axis=1))
+    if not len(chosen):
+        return []
+    chosen = chosen[np.argsort(ids[chosen])]
+    part = (np.cumsum(n[chosen]) - n[chosen]) * 2 // VOLUME
+    parts = [chosen[part == p] for p in np.unique(part)]
+    groups = [chosen] if len(parts) <= 2 else [np.r_[x, y] for i, x in enumerate(parts) for y in parts[i + 1:]]
+    # Regions of the same classes in other trees are the same group.
+    return [(np.full(len(g), mix(ids[g].astype(np.uint64)).sum().astype(np.int64)), ids[g]) for g in groups]
 
 
 def _regions(prefix: np.ndarray, lo: int, hi: int, depth: int, windows: bool = True) -> Iterator[tuple[int, int]]:
@@ -245,8 +278,9 @@ def _regions(prefix: np.ndarray, lo: int, hi: int, depth: int, windows: bool = T
                 yield from _regions(prefix, a, b, depth + 1, False)
 
 
-def propose(trees: DataFrame, limit: float, partners: int = PARTNERS) -> DataFrame:
-    """Candidate pairs a < b of classes, from sorted ranges of the forest's orders; a = b has more."""
+def over_regions(trees: DataFrame, decide, names: tuple[str, str]) -> DataFrame:
+    """The distinct pairs of numbers that ``decide`` (ids, n, component, low) gives for each region of
+    the forest's orders, streamed from sorted ranges."""
     def block(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
         table = pa.Table.from_batches(rows)
         ids, n, component = (table.column(c).to_numpy() for c in ("id", "n", "component"))
@@ -259,11 +293,9 @@ def propose(trees: DataFrame, limit: float, partners: int = PARTNERS) -> DataFra
         found = [(np.zeros(0, np.int64),) * 2]
         for a, b in zip(cuts, cuts[1:], strict=False):
             for lo, hi in _regions(prefix, a, b, MIN_DEPTH):
-                found += _propose_region(ids[lo:hi], n[lo:hi], component[lo:hi], low[lo:hi], limit, partners)
-        a, b = (np.concatenate(x) for x in zip(*found, strict=True))
-        a, b = np.minimum(a, b), np.maximum(a, b)
-        pairs = np.unique(np.stack([a, b]), axis=1)
-        return pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], ["a", "b"])
+                found += decide(ids[lo:hi], n[lo:hi], component[lo:hi], low[lo:hi])
+        pairs = np.unique(np.stack([np.concatenate(x) for x in zip(*found, strict=True)]), axis=1)
+        return pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], list(names))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, rows = [], 0
@@ -279,7 +311,72 @@ def propose(trees: DataFrame, limit: float, partners: int = PARTNERS) -> DataFra
             yield block(held)
 
     return (trees.repartitionByRange("tree", "key", "id").sortWithinPartitions("tree", "key", "id")
-            .mapInArrow(run, "a long, b long").distinct())
+            .mapInArrow(run, ", ".join(f"{x} long" for x in names)).distinct())
+
+
+def propose(trees: DataFrame, limit: float) -> DataFrame:
+    """Candidate pairs a < b of classes; a = b has more likely partners than it was paired with."""
+    return over_regions(trees, lambda *region: _propose_region(*region, limit), ("a", "b"))
+
+
+def gather(trees: DataFrame, limit: float) -> DataFrame:
+    """group, id: the classes to be decided together, of bounded number and size."""
+    return over_regions(trees, lambda *region: _gather_region(*region, limit), ("group", "id"))
+
+
+def crowded(classes: DataFrame, batch: int, most: int) -> DataFrame:
+    """id of the classes that share MIN_DEPTH leading minima of some tree with more than ``most`` - 1 others."""
+    def minimum(i: int):
+        return F.substring("sig", 4 * int(i) + 1, 4)
+
+    starts = F.array(*(F.concat(*map(minimum, of[:MIN_DEPTH])) for of in sequences(batch)))
+    prefix = classes.select("id", F.posexplode(starts).alias("tree", "prefix"))
+    crowds = prefix.groupBy("tree", "prefix").agg(F.count("*").alias("size")).filter(F.col("size") > most)
+    return prefix.join(crowds, ["tree", "prefix"], "left_semi").select("id").distinct()
+
+
+def linked(ids: np.ndarray, sizes: np.ndarray, shingles: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of classes with their full sets, one after the other: each linked class with the smallest one it reaches."""
+    m = len(ids)
+    names, column = np.unique(shingles, return_inverse=True)
+    row = np.repeat(np.arange(m), sizes)
+    shared = np.bincount(column, minlength=len(names)) > 1  # the others add to no pair
+    use = shared[column]
+    row, column = row[use], (np.cumsum(shared) - 1)[column[use]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    overlap = np.zeros((m, m))
+    for lo in range(0, int(shared.sum()), COLUMNS):
+        begin, end = np.searchsorted(column, [lo, lo + COLUMNS])
+        part = np.zeros((m, COLUMNS), np.float32)
+        part[row[begin:end], column[begin:end] - lo] = 1
+        overlap += part @ part.T
+    overlap = overlap.astype(np.int64)
+    near = 100 * overlap >= percent * (sizes[:, None] + sizes - overlap)
+    near |= ids[:, None] == ids  # rows that share a key are one node
+    root = ids.copy()
+    while True:
+        least = np.where(near, root, np.iinfo(np.int64).max).min(axis=1)
+        if (least == root).all():
+            break
+        root = least
+    far = root != ids
+    return ids[far], root[far]
+
+
+def decide_groups(groups: DataFrame, docs: DataFrame, key: str, text: str, width: int, percent: int) -> DataFrame:
+    """Links a, b that join what is linked within each group (group, id), by the classes' full sets."""
+    sets = full_sets(docs.join(groups.select(F.col("id").alias(key)).distinct(), key, "left_semi"), key, text, width)
+
+    def decide(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        own = table.column("shingles").chunk(0) if table.num_rows else None
+        if own is None:
+            return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+        a, b = linked(table.column("id").to_numpy(), np.diff(own.offsets.to_numpy()), own.flatten().to_numpy(), percent)
+        return pa.table({"a": a, "b": b})
+
+    return (groups.join(sets, "id").groupBy("group").applyInArrow(decide, "a long, b long").distinct())
 
 
 def confirm(pairs: DataFrame, docs: DataFrame, key: str, text: str, width: int, percent: int) -> DataFrame:
@@ -308,28 +405,23 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     classes = store(named.groupBy("h1", "h2", "n").agg(F.min("id").alias("rep")), "classes")
     reps = store(named.join(classes.select(F.col("rep").alias("id")), "id", "left_semi").select("id", "n", "sig"),
                  "representatives")
-    todo, tested, links, partners = reps.withColumn("component", F.col("id")), None, None, PARTNERS
-    while True:
-        again = tested is not None
-        proposed = store(propose(forest(todo), limit, partners), "proposed")
-        pairs = proposed.filter("a <> b")
-        pairs = store(pairs.join(tested, ["a", "b"], "left_anti"), "pairs") if again else pairs
-        tested = tested.unionAll(pairs) if again else pairs
-        found = store(confirm(pairs, docs, key, text, width, percent), "confirmed")
-        links = links.unionAll(found) if again else found
-        groups = store(components(links), "components")
-        ids = proposed.filter("a = b").select(F.col("a").alias("id"))
-        if not again:
-            a, b = (groups.withColumnsRenamed({"node": x, "component": f"of_{x}"}) for x in "ab")
-            apart = (pairs.join(a, "a", "left").join(b, "b", "left")
-                     .filter(F.coalesce("of_a", "a") != F.coalesce("of_b", "b")))
-            ids = ids.unionAll(apart.select(F.explode(F.array("a", "b")).alias("id"))).distinct()
-        todo = store(reps.join(ids, "id", "left_semi")
-                     .join(groups.withColumnRenamed("node", "id"), "id", "left")
+    proposed = store(propose(forest(reps.withColumn("component", F.col("id"))), limit), "proposed")
+    groups = store(components(confirm(proposed.filter("a <> b"), docs, key, text, width, percent)), "components")
+
+    def classes_of(ids: DataFrame) -> DataFrame:
+        return store(reps.join(ids, "id", "left_semi").join(groups.withColumnRenamed("node", "id"), "id", "left")
                      .select("id", "n", "sig", F.coalesce("component", "id").alias("component")), "left")
-        if todo.isEmpty():
-            break
-        partners *= MORE  # beyond a region's size after a few rounds, so that none can be left
+
+    todo, batch = classes_of(proposed.filter("a = b").select(F.col("a").alias("id"))), 0
+    while not batch or not todo.isEmpty():
+        regions = store(gather(forest(todo, batch), limit), "regions")
+        found = store(decide_groups(regions, docs, key, text, width, percent), "decided")
+        if not found.isEmpty():
+            # The components so far are links as well: each class with its smallest one.
+            groups = store(components(groups.select(F.col("node").alias("a"), F.col("component").alias("b"))
+                                      .unionAll(found)), "components")
+        batch += 1
+        todo = classes_of(crowded(reps, batch, REGION * CROWD ** (batch - 1)))
     of_class = (classes.join(groups.withColumnRenamed("node", "rep"), "rep", "left")
                 .select("h1", "h2", "n", F.coalesce("component", "rep").alias("component")))
     out = sig.drop("sig").join(of_class, ["h1", "h2", "n"], "left")
