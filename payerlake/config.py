@@ -28,6 +28,10 @@ class PipelineConfig:
     # The original mapping turned a missing status into "Under Review"; by
     # default we keep NULL so that the required-field rule can fire.
     null_status_as_review: bool = False
+    # Send claims whose (payer, claim id) is already published, or twice in a run, to quarantine.
+    dedup: bool = False
+    # Bitmaps (4 KB each) of the filter of published keys; about 3,000 keys a bitmap keep it sharp.
+    dedup_buckets: int = 4096
     # Fixture writer: batch folders per payer and month (the writer's
     # rebalance already splits an oversized payer-month by size).
     files_per_month: int = 1

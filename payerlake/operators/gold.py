@@ -17,6 +17,12 @@ from ..functions import metrics as M
 
 MONTHLY_KEYS = ["year_month", "payer_name"]
 FUNNEL_KEYS = ["year_month", "payer_name", "claim_type"]
+PROVIDER_COLUMNS = ["provider_id", "total_claims", "first_claim_date", "last_claim_date",
+                    "months_active", "unique_patients", "total_billed", "total_allowed",
+                    "total_paid", "avg_claim_amount", "claims_approved", "claims_denied",
+                    "approval_rate", "denial_rate", "primary_payer", "payer_count",
+                    "top_5_diagnosis_codes", "top_5_procedure_codes",
+                    "inpatient_claims", "outpatient_claims"]
 
 
 def with_year_month(df: DataFrame) -> DataFrame:
@@ -89,6 +95,11 @@ def provider_rankings(silver: DataFrame, k: int = 5) -> DataFrame:
     counts = (stacked.select("provider_id", "kv.kind", "kv.value")
               .filter(F.col("value").isNotNull())
               .groupBy("provider_id", "kind", "value").agg(F.count(F.lit(1)).alias("n")))
+    return leading_values(counts, k)
+
+
+def leading_values(counts: DataFrame, k: int) -> DataFrame:
+    """Top-k codes and primary payer from (provider_id, kind, value, n)."""
     w = Window.partitionBy("provider_id", "kind").orderBy(F.col("n").desc(), F.col("value").asc())
     ranked = (counts.withColumn("rn", F.row_number().over(w))
               .filter(F.col("rn") <= k))
@@ -128,12 +139,7 @@ def provider_metrics(silver: DataFrame, cfg: PipelineConfig = DEFAULT) -> DataFr
                  F.count_if(F.col("claim_type") == "Outpatient").alias("outpatient_claims")))
     ranks = provider_rankings(silver, cfg.top_codes)
     return (base.join(ranks, "provider_id", "left")
-            .select("provider_id", "total_claims", "first_claim_date", "last_claim_date",
-                    "months_active", "unique_patients", "total_billed", "total_allowed",
-                    "total_paid", "avg_claim_amount", "claims_approved", "claims_denied",
-                    "approval_rate", "denial_rate", "primary_payer", "payer_count",
-                    "top_5_diagnosis_codes", "top_5_procedure_codes",
-                    "inpatient_claims", "outpatient_claims"))
+            .select(*PROVIDER_COLUMNS))
 
 
 def stamp(df: DataFrame, ts=None) -> DataFrame:

@@ -81,6 +81,12 @@ def drop_partitions(spark, values: list, path: str, col: str) -> list[str]:
     return dropped
 
 
+def clear(spark, path: str) -> None:
+    """Delete a whole table; one that is not there is fine."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def drop_run(spark, path: str, run_id: str) -> None:
     """Delete every ``run_id=<run_id>`` folder of a table partitioned by it last,
     whatever the partitions above hold."""

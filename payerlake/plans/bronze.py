@@ -3,8 +3,9 @@
 One pass per run (the original ran ≥ 3 Spark jobs per file in a driver
 loop): list the landing folder (metadata only), anti-join the registry, scan
 the new files once for their row counts and headers, append one registry row
-per file.  File names never reach the driver; only the payer-month folders
-that hold new files do.
+per file.  Only the new files are opened; their paths pass the driver in
+blocks (``files.FILES_A_SCAN``).  ``listing_start`` bounds the listing to files
+written since shortly before the last registration.
 """
 
 from __future__ import annotations
@@ -24,6 +25,17 @@ from ..sources.lake import Lake, read_registry
 REGISTRY_PARTITIONS = ["payer_name"]
 
 
+def listing_start(spark: SparkSession, lake: Lake, overlap: _dt.timedelta) -> _dt.datetime | None:
+    """The last registration less ``overlap``, or None before the first.
+
+    A file whose modification time is older than that is not listed, so the overlap has to
+    cover the longest time a file may take from being written to being visible.  Files listed
+    twice do no harm: known ones are left out by the registry.
+    """
+    last = read_registry(spark, lake).agg(F.date_format(F.max("ingestion_timestamp"), "yyyy-MM-dd HH:mm:ss")).first()[0]
+    return _dt.datetime.fromisoformat(last) - overlap if last else None
+
+
 def unregistered_files(spark: SparkSession, lake: Lake, listing: DataFrame | None = None) -> DataFrame:
     listing = FS.list_files(spark, lake.raw) if listing is None else listing
     known = read_registry(spark, lake).select("file_path")
@@ -42,7 +54,7 @@ def register_new_files(spark: SparkSession, lake: Lake, run_ts: _dt.datetime,
                          F.coalesce("record_count", F.lit(0)).cast("bigint").alias("record_count"),
                          F.lit(FS.SCHEMA_VERSION).alias("schema_version"),
                          F.lit(run_ts).cast("timestamp").alias("ingestion_timestamp"),
-                         F.lit("registered").alias("processing_status"), "header_layout"), "registered")
+                         F.lit("registered").alias("processing_status"), "header_columns"), "registered")
     if not rows.isEmpty():
         upsert.append(rows, lake.registry, REGISTRY_PARTITIONS)
     return rows.select(*schemas.FILE_REGISTRY.fieldNames())

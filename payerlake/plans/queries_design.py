@@ -59,6 +59,27 @@ register("topk_rerank", _VEC_CTES + (
     lambda spark, sf: retrieval.rerank(vector_hits(spark, sf, STEP_K), K).select(
         "item_id", F.round("score", 6).cast("decimal(12,6)").alias("score"), "hits"))
 
+# Queries that grow with the table: every row whose id is divisible by QUERY_EVERY, against all rows.
+QUERY_EVERY = 20
+
+
+def _queries(emb):
+    return emb.filter(F.col("vec_id") % QUERY_EVERY == 0).select(
+        F.col("vec_id").alias("query_id"), F.col("embedding").cast("array<double>").alias("query_vec"))
+
+
+_BY_ID_CTES = f"""WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+s AS (SELECT q.vec_id AS query_id, e.vec_id AS item_id, list_cosine_similarity(e.v, q.v) AS score
+      FROM e, e AS q WHERE q.vec_id % {QUERY_EVERY} = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, item_id) AS rank FROM s)
+"""
+
+register("vector_topk_by_id", _BY_ID_CTES + (
+    f"SELECT query_id, item_id, CAST(rank AS INTEGER) AS rank, CAST(round(score, 6) AS DECIMAL(12,6)) AS score "
+    f"FROM r WHERE rank <= {K}"))(
+    lambda spark, sf: retrieval.cosine_topk(_emb(spark, sf), _queries(_emb(spark, sf)), K).select(
+        "query_id", "item_id", "rank", F.round("score", 6).cast("decimal(12,6)").alias("score")))
+
 # ------------------------------------------------------------------ glossary, cost, quarter
 
 _GLOSS = "(VALUES " + ", ".join(f"('{t}', '{c}')" for t, c in A.GLOSSARY) + ") g(term, icd10_category)"

@@ -4,9 +4,11 @@ The scenario is built from the given tables: canonical claims are written as
 payer CSV files under Hive paths in a fresh lake folder in two deliveries
 (claims up to 1998, then the rest), each followed by a bronze and a silver
 run; gold is refreshed at the end.  The lake of one (session, sf_dir) is
-built once and shared by the keys that read it.  The second delivery also
-holds three files that must fail by themselves: a reordered header, an
-unknown payer and a file without any header.
+built once and shared by the keys that read it.  In the second delivery payer_a
+writes its columns in reverse order in even months, and payer_b adds columns of
+its own; both are mapped by name.  It also holds three files that must fail by
+themselves: one that lacks a column, one of an unknown payer and one without
+any header.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ from ..sources.lake import Lake, read_quarantine, read_registry, read_silver, re
 from ..sources.lake import table_counts
 from . import bronze, gold as gold_job, silver as silver_job
 from . import oracle as O
-from .queries_core import CFG, FUNNEL_SQL, MONTHLY_SQL
+from .queries_core import CFG, FUNNEL_SQL, MONTHLY_SQL, PROVIDER_SQL, provider_out
 from .registry import register
 
 WAVE_SPLIT_YEAR = 1998
@@ -35,14 +37,28 @@ BROKEN_YEAR = 2099
 
 def plant_broken_files(spark, lake: Lake) -> None:
     """Three files that cannot be read as their payer's layout."""
-    columns = list(reversed(S.wire_columns("payer_a")))
-    reordered = spark.createDataFrame([["x"] * len(columns)], columns)
+    columns = S.wire_columns("payer_a")[1:]
+    lacking = spark.createDataFrame([["x"] * len(columns)], columns)
     stranger = spark.createDataFrame([("1", "2"), ("3", "4")], ["a", "b"])
     blank = spark.createDataFrame([("",)], ["a"])
-    for df, payer, header in ((reordered, "payer_a", True), (stranger, "payer_x", True), (blank, "payer_b", False)):
+    for df, payer, header in ((lacking, "payer_a", True), (stranger, "payer_x", True), (blank, "payer_b", False)):
         df.coalesce(1).write.option("header", header).csv(f"{lake.raw}/provider={payer}/year={BROKEN_YEAR}/month=1")
 
 
+def write_other_spellings(claims, lake: Lake) -> None:
+    """Feeds with reordered columns (payer_a, even months) and additional ones (payer_b)."""
+    def reversed_columns(feed):
+        wire = S.wire_columns("payer_a")
+        return feed.select(*reversed(wire), *(c for c in feed.columns if c not in wire))
+
+    def with_more(feed):
+        return feed.select(F.lit("n/a").alias("batch_note"), *feed.columns, F.lit("a, \"b\"").alias("Remark, free"))
+
+    even = F.month("claim_date") % 2 == 0
+    FS.write_feeds(claims.filter(even), lake.raw, CFG, ["payer_a"], {"payer_a": reversed_columns})
+    FS.write_feeds(claims.filter(~even | (F.col("payer_name") != "payer_a")), lake.raw, CFG, arrange={"payer_b": with_more})
+
+
 def _key(spark, sf):
     return (spark.sparkContext.applicationId, sf)
 
@@ -57,7 +73,7 @@ def batch_lake(spark, sf) -> dict:
     FS.write_feeds(claims.filter(early), lake.raw, CFG)
     bronze.register_new_files(spark, lake, RUN_TS[0])
     silver_job.run_silver(spark, lake, "run-000001", RUN_TS[0], CFG)
-    FS.write_feeds(claims.filter(~early), lake.raw, CFG)
+    write_other_spellings(claims.filter(~early), lake)
     plant_broken_files(spark, lake)
     snap = f"{lake.root}/_snapshots"
     FS.describe(bronze.unregistered_files(spark, lake)).write.parquet(f"{snap}/unregistered")
@@ -94,9 +110,9 @@ wfiles AS (
 ),
 afiles AS (
   SELECT *, 'completed' AS status, CAST(NULL AS VARCHAR) AS failure FROM wfiles
-  UNION ALL VALUES ('payer_a', 2099, 1, 0, 1, NULL, NULL, 'failed', 'No readable header of the payer layout'),
+  UNION ALL VALUES ('payer_a', 2099, 1, 0, 1, NULL, NULL, 'failed', 'Columns missing from the header'),
                    ('payer_x', 2099, 1, 0, 2, NULL, NULL, 'failed', 'Unknown payer'),
-                   ('payer_b', 2099, 1, 0, 0, NULL, NULL, 'failed', 'No readable header of the payer layout')
+                   ('payer_b', 2099, 1, 0, 0, NULL, NULL, 'failed', 'No header')
 )"""
 
 
@@ -258,6 +274,14 @@ register("funnel_from_files", O.wire_silver_ctes(CFG) + ",\nsilver2 AS (SELECT *
          "AS year_month FROM wsilver)\n" + FUNNEL_SQL.replace("FROM silver", "FROM silver2"))(
     lambda spark, sf: spark.read.parquet(batch_lake(spark, sf)["lake"].funnel).drop("last_updated_timestamp"))
 
+@register("provider_from_files", O.wire_silver_ctes(CFG) + ",\nsilver2 AS (SELECT * FROM wsilver)"
+          + PROVIDER_SQL.replace("FROM silver", "FROM silver2"))
+def q_provider_from_files(spark, sf):
+    """The provider table as the job wrote it."""
+    return provider_out(spark.read.parquet(batch_lake(spark, sf)["lake"].provider)
+                        .drop("last_updated_timestamp", "provider_bucket"))
+
+
 # Both runs' files: read, started and finished events, or one failure.
 register("catalog_tables", with_files(
     "SELECT 'bronze' AS layer, 'claims_files' AS table_name, (SELECT count(*) FROM afiles) AS row_count "

@@ -1,12 +1,15 @@
 """Silver job: standardise, validate and split every unprocessed file.
 
-Per run, not per file: all new files of a payer are read in one scan, the
-three payer layouts are mapped and unioned, every rule is evaluated in one
-projection, and the flagged rows are stored once on the shared file system;
-the accepted rows, the quarantine and the per-file counts are read from that
-copy.  A file whose header is not its payer's layout, a file without a
-header and a file of an unknown payer are logged as failed, each by itself;
-all others go through.
+Per run, not per file: the new files are grouped by payer and header (the
+column names in the file's own order), each group is read by the paths of its
+files in one scan (or one a ``files.FILES_A_SCAN`` files), and its columns are
+mapped by name, so that reordered and additional columns do no harm.  The
+scans' claims are unioned, every rule is evaluated in one projection, and the
+flagged rows are stored once on the shared file system; the accepted rows, the
+quarantine and the per-file counts are read from that copy.  A file that lacks
+a column of its payer's layout, a file without a header, one that has gone and
+a file of an unknown payer are logged as failed, each by itself; all others go
+through.
 
 Commit protocol: data partitions carry the run id, and the log rows (status
 ``completed``) are written last.  Readers only see runs whose log says
@@ -19,6 +22,7 @@ half-publishes rows.
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,10 +31,11 @@ from pyspark.sql import types as T
 from .. import schemas
 from ..config import DEFAULT, PipelineConfig
 from ..operators import standardize as S
-from ..operators import upsert, validate
-from ..session import store
+from ..operators import dedup, upsert, validate
+from ..session import discard, scratch_path, store
 from ..sources import files as FS
 from ..sources.lake import Lake, read_log, read_registry
+from . import keys
 
 LOG_PARTITIONS = ["run_id"]
 SILVER_PARTITIONS = ["claim_month", "run_id"]
@@ -76,26 +81,46 @@ def unprocessed_files(spark: SparkSession, lake: Lake) -> DataFrame:
     return read_registry(spark, lake).join(done, "file_path", "left_anti")
 
 
-def read_payer_files(spark: SparkSession, payer: str, files: DataFrame,
-                     cfg: PipelineConfig = DEFAULT) -> DataFrame:
-    """All given files of one payer in one scan, every column a string.
+def read_signature(spark: SparkSession, payer: str, header: list[str], paths: list[str],
+                   cfg: PipelineConfig = DEFAULT, gone: list[str] | None = None) -> DataFrame | None:
+    """The canonical claims of files of one payer that share a header; None if none of them is left.
 
-    Registration has compared each file's header with the payer layout, so
-    the layout is the schema and the header line is only skipped.
+    Columns are read by their place in the header and taken by name (whatever its case; of columns
+    of the same name the first).  raw_record keeps all columns of the file.
     """
-    wire = S.wire_columns(payer)
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in wire])
-    reader = spark.read.schema(schema).option("header", True).option("enforceSchema", True).option("mode", "PERMISSIVE")
-    raw = FS.read_of(files.filter(F.col("payer_name") == payer), reader, "csv")
-    raw = raw.withColumn("raw_record", F.to_json(F.struct(*[F.col(c) for c in wire])))
-    return S.to_canonical(raw.select(*wire, "source_file_path", "raw_record"), payer, cfg)
+    schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(header))])
+    reader = (spark.read.schema(schema).option("header", True).option("enforceSchema", True)
+              .option("mode", "PERMISSIVE"))
+    raw = FS.read_paths(spark, reader, "csv", paths, gone)
+    if raw is None:
+        return None
+    place = {}
+    for i, name in enumerate(header):
+        place.setdefault(name.lower(), i)
+    wire = {place[w.lower()]: w for w in S.wire_columns(payer)}
+    spelled = [wire.get(i, name if name and place[name.lower()] == i else f"{name}_{i}") for i, name in enumerate(header)]
+    raw = raw.withColumn("raw_record", F.to_json(F.struct(*(F.col(f"c{i}").alias(n) for i, n in enumerate(spelled)))))
+    return S.to_canonical(raw.select(*(F.col(f"c{i}").alias(w) for i, w in wire.items()), "source_file_path", "file_time",
+                                   "raw_record"), payer, cfg)
+
+
+def scans(spark: SparkSession, files: DataFrame, cfg: PipelineConfig = DEFAULT,
+          gone: list[str] | None = None) -> Iterator[DataFrame]:
+    """One DataFrame of canonical claims a header and block of files; headers are as many as spellings of the layouts."""
+    for sig in files.select("payer_name", "header_columns").distinct().orderBy("payer_name", "header_columns").collect():
+        same = files.filter((F.col("payer_name") == sig.payer_name)
+                            & (F.col("header_columns") == F.array(*map(F.lit, sig.header_columns))))
+        for paths in FS.path_blocks(same):
+            claims = read_signature(spark, sig.payer_name, sig.header_columns, paths, cfg, gone)
+            if claims is not None:
+                yield claims
 
 
 def _processing_id(run_id: str):
     return F.concat_ws("_", F.lit(run_id), F.col("payer_name"), F.sha2(F.col("bronze_file_path"), 256))
 
 
-def log_events(files: DataFrame, run_id: str, status: str, ts: _dt.datetime,
+def log_events(files: DataFrame, run_id: str, status: str, ts: _dt.datetime, day: _dt.date | None = None,
                counts: DataFrame | None = None, error: Column | str | None = None) -> DataFrame:
     """One log event per file; ``counts`` (per bronze_file_path) fills the
     record counts of a completed event, a file without rows counts 0."""
@@ -111,7 +136,7 @@ def log_events(files: DataFrame, run_id: str, status: str, ts: _dt.datetime,
     return base.select(
         _processing_id(run_id).alias("processing_id"), "bronze_file_path", "payer_name",
         F.lit(ts).cast("timestamp").alias("event_timestamp"), F.lit(status).alias("status"),
-        *vals, "error_message", F.lit(run_id).alias("run_id"))
+        *vals, "error_message", F.lit(day).cast("date").alias("processing_date"), F.lit(run_id).alias("run_id"))
 
 
 def commit_log(lake: Lake, events: DataFrame) -> None:
@@ -130,22 +155,63 @@ def run_completed(spark: SparkSession, lake: Lake, run_id: str) -> bool:
 
 def refuse_reason() -> Column:
     """Why a registered file cannot be read; NULL if it can."""
-    payer, layout = F.col("payer_name"), F.col("header_layout")
-    wanted = F.create_map(*(F.lit(x) for p in S.PAYERS for x in (p, ",".join(S.wire_columns(p)))))
+    payer, header = F.col("payer_name"), F.col("header_columns")
+    names = F.transform(header, F.lower)
+    missing = None
+    for p in S.PAYERS:
+        wanted = F.array(*map(F.lit, S.wire_columns(p)))
+        lacks = F.filter(wanted, lambda c: ~F.array_contains(names, F.lower(c)))
+        missing = F.when(payer == p, lacks) if missing is None else missing.when(payer == p, lacks)
     return (F.when(payer.isNull() | ~payer.isin(list(S.PAYERS)), F.concat(F.lit("Unknown payer: "), F.coalesce(payer, F.lit("none"))))
-            .when(layout.isNull() | (layout != payer),
-                  F.concat(F.lit("No readable header of the payer layout: "), F.try_element_at(wanted, payer))))
-
-
-def publish(spark: SparkSession, lake: Lake, canonical: DataFrame, files: DataFrame, refused: DataFrame,
+            .when(header.isNull(), F.lit("No header: the file has no line"))
+            .when(F.size(missing) > 0, F.concat(F.lit("Columns missing from the header: "), F.array_join(missing, ", "))))
+
+
+# Scans that are stored together by one job.
+SCANS_A_JOB = 16
+
+
+def flag_claims(spark: SparkSession, claims: Iterator[DataFrame], run_id: str, run_ts: _dt.datetime,
+                cfg: PipelineConfig = DEFAULT) -> str | None:
+    """Validate the scans' claims and store them with their reasons; the folder they are in, or None without a scan."""
+    out, held, jobs = scratch_path(spark, "flagged"), [], 0
+
+    def write() -> None:
+        nonlocal jobs
+        jobs += 1
+        rows = held[0]
+        for more in held[1:]:
+            rows = rows.unionByName(more)
+        staged = (rows.withColumn("ingestion_timestamp", F.lit(run_ts).cast("timestamp"))
+                  .withColumn("processing_date", F.lit(cfg.as_of))
+                  .withColumn("run_id", F.lit(run_id))
+                  .withColumn("claim_month", F.date_format("claim_date", "yyyy-MM"))
+                  .withColumn("row_id", F.struct(F.lit(jobs).alias("job"), F.monotonically_increasing_id().alias("row"))))
+        validate.with_reasons(staged, cfg).write.mode("append").parquet(out)
+        held.clear()
+
+    for scan in claims:
+        held.append(scan)
+        if len(held) == SCANS_A_JOB:
+            write()
+    if held:
+        write()
+    return out if jobs else None
+
+
+def mark_duplicates(spark: SparkSession, lake: Lake, flagged: DataFrame, cfg: PipelineConfig = DEFAULT) -> DataFrame:
+    """``flagged`` with the reason DUPLICATE_CLAIM on accepted rows whose key is published or comes again."""
+    good = validate.accepted(flagged).select(*dedup.KEYS, "row_id", F.struct("file_time", "source_file_path").alias("newest"))
+    again = store(dedup.duplicate_rows(good, keys.published(spark, lake, good, cfg)), "duplicates")
+    return (flagged.join(again.withColumn("again", F.lit(True)), "row_id", "left")
+            .withColumn("rejection_reasons", F.when(F.col("again"), F.array(F.lit(f"{dedup.REASON}: claim_id")))
+                        .otherwise(F.col("rejection_reasons"))).drop("again"))
+
+
+def publish(spark: SparkSession, lake: Lake, flagged: DataFrame, files: DataFrame, refused: DataFrame,
             run_id: str, run_ts: _dt.datetime, cfg: PipelineConfig = DEFAULT) -> None:
-    """Validate one batch of canonical rows and publish it with its log."""
-    staged = (canonical
-              .withColumn("ingestion_timestamp", F.lit(run_ts).cast("timestamp"))
-              .withColumn("processing_date", F.lit(cfg.as_of))
-              .withColumn("run_id", F.lit(run_id))
-              .withColumn("claim_month", F.date_format("claim_date", "yyyy-MM")))
-    flagged = store(validate.with_reasons(staged, cfg), "flagged")
+    """Publish one batch of flagged claims with its log."""
+    day = cfg.as_of
     good = validate.accepted(flagged).select(*schemas.SILVER_CLAIMS.fieldNames())
     upsert.overwrite_partitions(good, lake.silver_claims, SILVER_PARTITIONS)
     bad = (validate.quarantine_projection(validate.quarantined(flagged), F.lit(run_ts).cast("timestamp"))
@@ -157,8 +223,10 @@ def publish(spark: SparkSession, lake: Lake, canonical: DataFrame, files: DataFr
               .agg(F.count(F.lit(1)).alias("records_read"),
                    F.count_if(F.size("rejection_reasons") == 0).alias("records_accepted"),
                    F.count_if(F.size("rejection_reasons") > 0).alias("records_quarantined")))
-    commit_log(lake, log_events(files, run_id, "running", run_ts)
-               .unionByName(log_events(files, run_id, "completed", run_ts, counts)).unionByName(refused))
+    if cfg.dedup:
+        keys.add_part(lake, good.select(*dedup.KEYS), spark.createDataFrame([(run_id,)], "run_id string"), cfg)
+    commit_log(lake, log_events(files, run_id, "running", run_ts, day)
+               .unionByName(log_events(files, run_id, "completed", run_ts, day, counts)).unionByName(refused))
 
 
 def process_files(spark: SparkSession, lake: Lake, registered: DataFrame, run_id: str,
@@ -178,16 +246,26 @@ def process_files(spark: SparkSession, lake: Lake, registered: DataFrame, run_id
     refused = log_events(broken, run_id, "failed", run_ts, error=F.col("refused"))
     # 'running' events first: an in-flight (or crashed) run is visible in the log.
     commit_log(lake, log_events(files, run_id, "running", run_ts).unionByName(refused))
-    # The known payers are few, whatever the number of files.
-    payers = [r.payer_name for r in files.select("payer_name").distinct().collect()]
     error = None
-    if payers:
-        parts = [read_payer_files(spark, p, files, cfg) for p in sorted(payers)]
-        canonical = parts[0]
-        for part in parts[1:]:
-            canonical = canonical.unionByName(part)
+    if failed < n:
         try:
-            publish(spark, lake, canonical, files, refused, run_id, run_ts, cfg)
+            gone: list[str] = []
+            folder = flag_claims(spark, scans(spark, files, cfg, gone), run_id, run_ts, cfg)
+            if gone:
+                # Deleted after they were registered: few, or the landing folder is being emptied.
+                lost = spark.createDataFrame([(p,) for p in gone], "p string")
+                away = FS.plain_path(F.col("file_path")) == F.col("p")
+                refused = refused.unionByName(log_events(files.join(lost, away, "left_semi"), run_id, "failed", run_ts,
+                                                         error="File not found: it has gone since it was registered"))
+                files, failed = files.join(lost, away, "left_anti"), failed + len(gone)
+            if folder:
+                flagged = spark.read.parquet(folder)
+                if cfg.dedup:
+                    flagged = mark_duplicates(spark, lake, flagged, cfg)
+                publish(spark, lake, flagged, files, refused, run_id, run_ts, cfg)
+                discard(spark, folder)
+            else:
+                commit_log(lake, refused)
         except Exception as exc:  # noqa: BLE001 - logged per file, like the original
             # Nothing of this run is visible (no completed log rows); record
             # the failure per file so the files are retried by the next run.

@@ -16,8 +16,8 @@ FILE_REGISTRY = T.StructType([
     _f("file_path", S, False), _f("file_name", S, False), _f("payer_name", S),
     _f("file_year", I), _f("file_month", I), _f("file_size_bytes", L), _f("record_count", L),
     _f("schema_version", S), _f("ingestion_timestamp", TS, False), _f("processing_status", S, False),
-    # The payer layout that the file's first line spells; NULL for any other or no first line.
-    _f("header_layout", S),
+    # The column names of the file's first line, in its order; NULL without a line.
+    _f("header_columns", T.ArrayType(S)),
 ])
 
 CLAIM_FIELDS = [
@@ -44,7 +44,13 @@ PROCESSING_LOG = T.StructType([
     _f("processing_id", S, False), _f("bronze_file_path", S, False), _f("payer_name", S),
     _f("event_timestamp", TS, False), _f("status", S, False), _f("records_read", L),
     _f("records_accepted", L), _f("records_quarantined", L), _f("error_message", S),
-    _f("run_id", S, False),
+    # The day the run's claims are dated with (their processing_date).
+    _f("processing_date", D), _f("run_id", S, False),
+])
+
+COMPACTIONS = T.StructType([
+    _f("compaction_id", S, False), _f("claim_month", S, False), _f("run_id", S, False),
+    _f("processing_date", D), _f("event_timestamp", TS, False),
 ])
 
 LOG_STATUS_RANK = {"running": 0, "failed": 1, "completed": 2}

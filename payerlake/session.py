@@ -98,6 +98,14 @@ def store(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared scratch root that nothing reads any more; other paths are refused."""
+    if not path.startswith(checkpoint_root(spark).rstrip("/") + "/"):
+        raise ValueError(f"{path} is not below the scratch root")
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(jpath, True)
+
+
 def local_path(path: str) -> str:
     """Strip a ``file:`` scheme so Python can look at a local path."""
     if path.startswith("file://"):

@@ -3,8 +3,9 @@
 A file is known by its canonical URI (``_metadata.file_path``) in every table
 and every job.  Listing uses the ``binaryFile`` source without its content
 column, so it reads file metadata only (a header-only CSV is still seen).
-Files are read by their payer-month folders and semi-joined on the URI: no
-list of files is built on the driver.  The path layout is Hive style::
+Files are read by their own paths, ``FILES_A_SCAN`` of them in a scan: a new
+file in a folder of many is the only one that is opened, and the driver holds
+the paths of one scan at a time.  The path layout is Hive style::
 
     <root>/provider=<payer>/year=<YYYY>/month=<M>/batch=<n>/<file>.csv
 
@@ -13,12 +14,19 @@ and payer / year / month are parsed out of the path with ``regexp_extract``.
 
 from __future__ import annotations
 
+import datetime as _dt
+import re
+from collections.abc import Iterator
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT, PipelineConfig
 from ..operators import standardize as S
+from ..session import exists, scratch_path
 
+FILES_A_SCAN = 5000
 SCHEMA_VERSION = "v1"
 LISTING_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
 
@@ -30,11 +38,13 @@ def listing(files: DataFrame) -> DataFrame:
                         F.col("_metadata.file_modification_time").alias("modification_time"))
 
 
-def list_files(spark: SparkSession, root: str) -> DataFrame:
-    return listing(spark.read.format("binaryFile")
-                   .option("pathGlobFilter", "*.csv")
-                   .option("recursiveFileLookup", "true")
-                   .load(root))
+def list_files(spark: SparkSession, root: str, modified_after: _dt.datetime | None = None) -> DataFrame:
+    """The CSV files below ``root``; with ``modified_after`` (UTC) only those written later."""
+    reader = (spark.read.format("binaryFile").option("pathGlobFilter", "*.csv")
+              .option("recursiveFileLookup", "true"))
+    if modified_after is not None:
+        reader = reader.option("modifiedAfter", modified_after.strftime("%Y-%m-%dT%H:%M:%S"))
+    return listing(reader.load(root))
 
 
 def plain_path(uri: Column) -> Column:
@@ -42,51 +52,76 @@ def plain_path(uri: Column) -> Column:
     return F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B")))
 
 
-def folders(files: DataFrame) -> list[str]:
-    """The payer-month folders of the files (other files: their own folder); as many as there are months."""
-    p = plain_path(F.col("file_path"))
-    month = F.regexp_extract(p, r"^(.*/month=[^/]+)/", 1)
-    found = files.select(F.when(month != "", month).otherwise(F.regexp_extract(p, r"^(.*)/[^/]*$", 1)).alias("f"))
-    return [r.f for r in found.distinct().collect()]
+def path_blocks(files: DataFrame, size: int | None = None) -> Iterator[list[str]]:
+    """The paths of the files (column file_path), ``FILES_A_SCAN`` at a time."""
+    size, block = size or FILES_A_SCAN, []
+    paths = files.select(plain_path(F.col("file_path")).alias("p")).distinct()
+    for row in paths.toLocalIterator():
+        block.append(row.p)
+        if len(block) == size:
+            yield block
+            block = []
+    if block:
+        yield block
+
 
+def literal(path: str) -> str:
+    """A path that the reader's glob patterns match as it is."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
 
-def read_of(files: DataFrame, reader, fmt: str) -> DataFrame:
-    """Rows of exactly the given files (column file_path), with their URI as source_file_path.
 
-    The reader may see other files of the same folders; the semi-join drops
-    their rows.  Spark broadcasts the file list while it is small.
+def read_paths(spark: SparkSession, reader, fmt: str, paths: list[str], gone: list[str] | None = None) -> DataFrame | None:
+    """Rows of exactly the given files, with their URI as source_file_path and its file_time; None if none is left.
+
+    Files that have gone since they were listed are left out, and added to ``gone``.
     """
-    where = folders(files)
-    rows = (reader.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv")
-            .format(fmt).load(where))
-    rows = rows.select("*", F.col("_metadata.file_path").alias("source_file_path"),
+    reader = reader.option("recursiveFileLookup", "true").format(fmt)
+    try:
+        rows = reader.load([literal(p) for p in paths])
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        left = [p for p in paths if exists(spark, p)]
+        if gone is not None:
+            gone += sorted(set(paths) - set(left))
+        if not left:
+            return None
+        rows = reader.load([literal(p) for p in left])
+    return rows.select("*", F.col("_metadata.file_path").alias("source_file_path"),
+                       F.col("_metadata.file_modification_time").alias("file_time"),
                        F.col("_metadata.file_block_start").alias("block_start"))
-    if fmt == "text":
-        rows = rows.withColumn("line", F.monotonically_increasing_id())
-    return rows.join(files.select(F.col("file_path").alias("source_file_path")).distinct(),
-                     "source_file_path", "left_semi")
+
+
+def header_names(line: Column) -> Column:
+    """The column names of a header line: split at commas outside quotes, without quotes, blanks and byte order mark."""
+    parts = F.split(F.regexp_replace(line, "^\ufeff", ""), ',(?=(?:[^"]*"[^"]*")*[^"]*$)')
+    return F.transform(parts, lambda c: F.trim(F.regexp_replace(F.trim(c), '^"|"$', "")))
+
+
+SCANNED = "file_path string, record_count long, header_columns array<string>"
 
 
 def scan_files(spark: SparkSession, files: DataFrame) -> DataFrame:
-    """file_path, record_count (lines with text, without the header) and header_layout of each file.
+    """file_path, record_count (lines with text, without the header) and header_columns of each file.
 
-    One aggregate over the lines.  header_layout is the payer whose column
-    names the first line spells, or NULL; a file without any line, or one that
-    cannot be read, has no row.
+    One aggregate over the lines of each block of files.  header_columns are the names in the
+    first line with text; a file without any line, or one that cannot be read, has no row.
     """
-    if files.isEmpty():
-        return spark.createDataFrame([], "file_path string, record_count long, header_layout string")
-    lines = read_of(files, spark.read.option("ignoreCorruptFiles", "true"), "text")
-    text = F.trim(F.regexp_replace("value", "[\"\ufeff ]", ""))
-    at_start = (F.col("block_start") == 0) & (text != "")
-    header = {p: F.min(F.when(at_start & (F.lower(text) == ",".join(S.wire_columns(p)).lower()), F.col("line")))
-              for p in S.PAYERS}
-    first = F.min(F.when(at_start, F.col("line")))
-    per_file = lines.groupBy("source_file_path").agg(
-        F.count_if(text != "").alias("n"), first.alias("first"), *(h.alias(f"of_{p}") for p, h in header.items()))
-    layout = F.coalesce(*(F.when(F.col(f"of_{p}") == F.col("first"), p) for p in S.PAYERS))
-    return per_file.select(F.col("source_file_path").alias("file_path"),
-                           F.greatest(F.col("n") - 1, F.lit(0)).alias("record_count"), layout.alias("header_layout"))
+    out = scratch_path(spark, "scanned")
+    spark.createDataFrame([], SCANNED).write.parquet(out)
+    for paths in path_blocks(files):
+        lines = read_paths(spark, spark.read.option("ignoreCorruptFiles", "true"), "text", paths)
+        if lines is None:
+            continue
+        lines = lines.withColumn("line", F.monotonically_increasing_id())
+        some = F.regexp_replace("value", "[\"\ufeff ]", "") != ""
+        first = F.min_by("value", F.when((F.col("block_start") == 0) & some, F.col("line")))
+        per_file = lines.groupBy("source_file_path").agg(F.count_if(some).alias("n"), first.alias("first"))
+        (per_file.select(F.col("source_file_path").alias("file_path"),
+                         F.greatest(F.col("n") - 1, F.lit(0)).alias("record_count"),
+                         header_names(F.col("first")).alias("header_columns"))
+         .write.mode("append").parquet(out))
+    return spark.read.schema(SCANNED).parquet(out)
 
 
 def path_part(path: Column, key: str) -> Column:
@@ -116,9 +151,11 @@ def file_batch(cfg: PipelineConfig = DEFAULT) -> Column:
 
 
 def write_feeds(claims: DataFrame, root: str, cfg: PipelineConfig = DEFAULT,
-                payers=S.PAYERS) -> None:
+                payers=S.PAYERS, arrange: dict | None = None) -> None:
     """Write canonical claims as the payers' CSV files under ``root``.
 
+    ``arrange`` maps a payer to a function that reorders or adds columns of its feed.
+
     Rows are rebalanced by the leaf keys: a leaf below the advisory
     partition size is written by one task (one file), a larger one is split
     by AQE over several tasks.
@@ -128,6 +165,6 @@ def write_feeds(claims: DataFrame, root: str, cfg: PipelineConfig = DEFAULT,
         part = claims.filter(F.col("payer_name") == payer).select(
             "*", F.year("claim_date").alias("year"), F.month("claim_date").alias("month"),
             file_batch(cfg).alias("batch"))
-        feed = S.render_feed(part, payer, keep=keys)
+        feed = (arrange or {}).get(payer, lambda df: df)(S.render_feed(part, payer, keep=keys))
         (feed.hint("rebalance", *keys).write.mode("append").option("header", True)
              .partitionBy(*keys).csv(f"{root}/provider={payer}"))

@@ -8,6 +8,7 @@ first run needs no special case.
 
 from __future__ import annotations
 
+import datetime as _dt
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -53,6 +54,22 @@ class Lake:
     def provider(self) -> str:
         return f"{self.root}/gold/provider_performance_metrics"
 
+    @property
+    def compactions(self) -> str:
+        return f"{self.root}/silver/claims_compactions"
+
+    @property
+    def key_bits(self) -> str:
+        return f"{self.root}/silver/key_filter/bits"
+
+    @property
+    def key_covers(self) -> str:
+        return f"{self.root}/silver/key_filter/covers"
+
+    def state(self, table: str) -> str:
+        """Partial aggregates that the gold tables are merged from."""
+        return f"{self.root}/gold/state/{table}"
+
     @property
     def checkpoints(self) -> str:
         return f"{self.root}/_checkpoints"
@@ -89,16 +106,38 @@ def completed_runs(log: DataFrame) -> DataFrame:
     return log.filter(F.col("status") == "completed").select("run_id").distinct()
 
 
+def read_compactions(spark: SparkSession, lake: Lake) -> DataFrame:
+    """The partitions of silver that compactions have replaced; committed by being listed here."""
+    return read_or_empty(spark, lake.compactions, schemas.COMPACTIONS)
+
+
+def visible_runs(spark: SparkSession, lake: Lake) -> DataFrame:
+    """run_id of what silver's readers see: completed runs and committed compactions."""
+    moved = read_compactions(spark, lake).select(F.col("compaction_id").alias("run_id"))
+    return completed_runs(read_log(spark, lake)).unionByName(moved).distinct()
+
+
+def dated_runs(spark: SparkSession, lake: Lake) -> DataFrame:
+    """run_id and processing_date (of a compaction: the latest of its runs) of all visible runs."""
+    runs = read_log(spark, lake).filter(F.col("status") == "completed").select("run_id", "processing_date")
+    moved = read_compactions(spark, lake).select(F.col("compaction_id").alias("run_id"), "processing_date")
+    return runs.unionByName(moved).groupBy("run_id").agg(F.max("processing_date").alias("processing_date"))
+
+
 def read_silver(spark: SparkSession, lake: Lake, committed_only: bool = True) -> DataFrame:
     """Silver claims; by default only rows of runs whose log says completed.
 
     A run writes its data partitions first and its log rows last, so rows of
     a run that died half way are invisible (and are replaced when the run is
-    retried with the same run id).
+    retried with the same run id).  Partitions that a compaction has replaced
+    are left out, for its own.
     """
     df = read_or_empty(spark, lake.silver_claims, schemas.SILVER_CLAIMS)
     if committed_only:
-        df = df.join(completed_runs(read_log(spark, lake)), "run_id", "left_semi")
+        df = df.join(visible_runs(spark, lake), "run_id", "left_semi")
+        if exists(spark, lake.compactions):
+            replaced = read_compactions(spark, lake).select("claim_month", "run_id").distinct()
+            df = df.join(replaced, ["claim_month", "run_id"], "left_anti").select(*schemas.SILVER_CLAIMS.fieldNames())
     return df
 
 

@@ -159,10 +159,10 @@ def write_file(lake, name, header, rows, payer="payer_c", month=1):
 
 
 def test_one_bad_file_leaves_the_others_alone(spark, lake):
-    """A reordered header, an empty file and an unknown payer fail by themselves."""
+    """A header that lacks columns, an empty file and an unknown payer fail by themselves."""
     cols = S.wire_columns("payer_c")
     write_file(lake, "ok.csv", cols, [claim_row()])
-    write_file(lake, "reordered.csv", list(reversed(cols)), [["x"] * len(cols)])
+    write_file(lake, "lacking.csv", cols[1:], [["x"] * (len(cols) - 1)])
     write_file(lake, "empty.csv", [""], [])
     write_file(lake, "header only.csv", cols, [])
     write_file(lake, "data.csv", ["a", "b"], [["1", "2"]], payer="payer_x")
@@ -172,8 +172,9 @@ def test_one_bad_file_leaves_the_others_alone(spark, lake):
     assert [r.claim_id for r in read_silver(spark, lake).collect()] == ["c-1"]
     log = {r.bronze_file_path.rpartition("/")[2]: r for r in silver.latest_by_file(read_log(spark, lake)).collect()}
     assert {n: r.status for n, r in log.items()} == {"ok.csv": "completed", "header%20only.csv": "completed",
-                                                     "reordered.csv": "failed", "empty.csv": "failed", "data.csv": "failed"}
-    assert "header" in log["reordered.csv"].error_message and "CLAIM_ID" in log["reordered.csv"].error_message
+                                                     "lacking.csv": "failed", "empty.csv": "failed", "data.csv": "failed"}
+    assert log["lacking.csv"].error_message == "Columns missing from the header: CLAIM_ID"
+    assert log["empty.csv"].error_message.startswith("No header")
     assert log["header%20only.csv"].records_read == 0
     # the failed ones stay unprocessed, so the next run retries them
     assert silver.unprocessed_files(spark, lake).count() == 3
