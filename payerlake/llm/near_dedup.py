@@ -325,13 +325,18 @@ def gather(trees: DataFrame, limit: float) -> DataFrame:
 
 
 def crowded(classes: DataFrame, batch: int, most: int) -> DataFrame:
-    """id of the classes that share MIN_DEPTH leading minima of some tree with more than ``most`` - 1 others."""
+    """id of the classes that share MIN_DEPTH leading minima of some tree with more than ``most`` - 1
+    others, not all of them of one component."""
     def minimum(i: int):
         return F.substring("sig", 4 * int(i) + 1, 4)
 
     starts = F.array(*(F.concat(*map(minimum, of[:MIN_DEPTH])) for of in sequences(batch)))
-    prefix = classes.select("id", F.posexplode(starts).alias("tree", "prefix"))
-    crowds = prefix.groupBy("tree", "prefix").agg(F.count("*").alias("size")).filter(F.col("size") > most)
+    prefix = classes.select("id", "component", F.posexplode(starts).alias("tree", "prefix"))
+    crowds = store(prefix.groupBy("tree", "prefix").agg(F.count("*").alias("size"), F.min("component").alias("least"),
+                                                        F.max("component").alias("greatest"))
+                   .filter((F.col("size") > most) & (F.col("least") < F.col("greatest"))), "crowds")
+    if crowds.isEmpty():
+        return classes.select("id").limit(0)
     return prefix.join(crowds, ["tree", "prefix"], "left_semi").select("id").distinct()
 
 
@@ -408,20 +413,22 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     proposed = store(propose(forest(reps.withColumn("component", F.col("id"))), limit), "proposed")
     groups = store(components(confirm(proposed.filter("a <> b"), docs, key, text, width, percent)), "components")
 
-    def classes_of(ids: DataFrame) -> DataFrame:
-        return store(reps.join(ids, "id", "left_semi").join(groups.withColumnRenamed("node", "id"), "id", "left")
-                     .select("id", "n", "sig", F.coalesce("component", "id").alias("component")), "left")
+    def named_by(groups: DataFrame) -> DataFrame:
+        return (reps.join(groups.withColumnRenamed("node", "id"), "id", "left")
+                .select("id", "n", "sig", F.coalesce("component", "id").alias("component")))
 
-    todo, batch = classes_of(proposed.filter("a = b").select(F.col("a").alias("id"))), 0
+    todo, batch = proposed.filter("a = b").select(F.col("a").alias("id")), 0
     while not batch or not todo.isEmpty():
+        todo = store(named_by(groups).join(todo, "id", "left_semi"), "left")
         regions = store(gather(forest(todo, batch), limit), "regions")
-        found = store(decide_groups(regions, docs, key, text, width, percent), "decided")
-        if not found.isEmpty():
-            # The components so far are links as well: each class with its smallest one.
-            groups = store(components(groups.select(F.col("node").alias("a"), F.col("component").alias("b"))
-                                      .unionAll(found)), "components")
+        if not regions.isEmpty():
+            found = store(decide_groups(regions, docs, key, text, width, percent), "decided")
+            if not found.isEmpty():
+                # The components so far are links as well: each class with its smallest one.
+                groups = store(components(groups.select(F.col("node").alias("a"), F.col("component").alias("b"))
+                                          .unionAll(found)), "components")
         batch += 1
-        todo = classes_of(crowded(reps, batch, REGION * CROWD ** (batch - 1)))
+        todo = crowded(named_by(groups), batch, REGION * CROWD ** (batch - 1))
     of_class = (classes.join(groups.withColumnRenamed("node", "rep"), "rep", "left")
                 .select("h1", "h2", "n", F.coalesce("component", "rep").alias("component")))
     out = sig.drop("sig").join(of_class, ["h1", "h2", "n"], "left")
