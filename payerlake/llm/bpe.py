@@ -6,8 +6,11 @@ each step joins the positions with the merge table, finds each word's minimum ra
 its leftmost pair, until no pair of any word is in the table. In words of more than ``LONG``
 bytes, where no later merge can undercut a rank (``safe``, worked out from the table), the other
 non-overlapping pairs of that rank go in the same step, since they would be the next minima
-anyway; runs of one token then take a logarithmic number of steps. Decoding joins token rows with
-the vocabulary and concatenates their bytes in the order of their positions.
+anyway; runs of one token then take a logarithmic number of steps. Words of more than ``WINDOW``
+bytes are encoded in overlapping windows, joined at tokens that two windows share (``windows``
+says why that is exact), so that the work grows with a word's length and not with its square.
+Decoding joins token rows with the vocabulary and concatenates their bytes in the order of their
+positions.
 
 The merge table is a vocabulary file: about 100,000 pairs, loaded once per Python worker. The
 workers' caches of encoded words only save work and are emptied at ``CACHE_WORDS`` entries.
@@ -34,6 +37,9 @@ DECODE_ROWS = 1_000_000
 ENCODE_BYTES = 500_000
 # Words of more bytes go through RUNS, whose steps do not grow with the length of a run.
 LONG = 64
+# Words of more bytes are encoded in windows of this size that overlap by half.
+WINDOW = 128
+WINDOW_BYTES = 100_000
 
 # One pair a word and step. A row is a token: fin is the byte where it ends, nxt the token after it.
 # The smallest rank wins, then the leftmost; the pair's second row takes the merged token over.
@@ -91,8 +97,8 @@ SELECT word, list(tok ORDER BY pos) AS ids FROM state WHERE done GROUP BY word O
 
 # bytes: one character for each byte (Latin-1).
 DECODE = """
-SELECT doc, string_agg(bytes, '') AS bytes
-FROM (SELECT t.doc, v.bytes FROM toks t JOIN vocab v ON v.id = t.id ORDER BY t.doc, t.pos) GROUP BY doc
+SELECT t.doc, string_agg(v.bytes, '' ORDER BY t.pos) AS bytes
+FROM toks t JOIN vocab v ON v.id = t.id GROUP BY t.doc
 """
 
 
@@ -105,6 +111,8 @@ class BytePairs:
         self.ranks = ranks
         if max(map(len, ranks)) > 63:
             raise ValueError("tokens of more than 63 bytes do not fit the packed ranks")
+        self.length = np.zeros(max(ranks.values()) + 1, np.int64)
+        self.length[list(ranks.values())] = list(map(len, ranks))
         self.byte_id = np.array([ranks[bytes([i])] for i in range(256)], np.int32)
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": "600MB", "temp_directory": ""})
         pairs = [(ranks[w[:i]], ranks[w[i:]], r) for w, r in ranks.items()
@@ -150,18 +158,68 @@ class BytePairs:
         flat, offsets = found.values.to_numpy(), found.offsets.to_numpy()
         return [flat[offsets[i]:offsets[i + 1]] for i in range(len(words))]
 
+    def contract_all(self, words: list[bytes], steps: str, size: int) -> list[np.ndarray]:
+        """``contract``, some ``size`` bytes at a time."""
+        ends = np.cumsum([len(w) for w in words])
+        cuts = [0, *(np.flatnonzero(np.diff(ends // size)) + 1), len(words)]
+        return [ids for lo, hi in zip(cuts, cuts[1:], strict=False) if hi > lo
+                for ids in self.contract(words[lo:hi], steps)]
+
+    def windows(self, words: list[bytes]) -> list[np.ndarray]:
+        """The ids of long words, joined from those of overlapping windows.
+
+        Tokens in a row are the encoding of their bytes if every two neighbours are the encoding of
+        theirs: the first merge across a border would also come up in the two neighbours alone. So two
+        windows that have a token in common, at one place, are joined at it. Neighbouring windows
+        without a common token become one window, if need be up to the whole word.
+        """
+        half = WINDOW // 2
+        parts = [(w, lo, min(lo + WINDOW, len(b))) for w, b in enumerate(words)
+                 for lo in range(0, max(len(b) - half, 1), half)]
+        known: dict[tuple[int, int, int], np.ndarray] = {}
+        while True:
+            new = [p for p in parts if p not in known]
+            known.update(zip(new, self.contract_all([words[w][lo:hi] for w, lo, hi in new], RUNS, WINDOW_BYTES),
+                             strict=True))
+            joints = [self._joint(a, known[a], b, known[b]) for a, b in zip(parts, parts[1:], strict=False)]
+            wider, i = [], 0
+            while i < len(parts):
+                alone = i < len(joints) and joints[i] is None and parts[i][0] == parts[i + 1][0]
+                wider.append((*parts[i][:2], parts[i + alone][2]))
+                i += 1 + alone
+            if len(wider) == len(parts):
+                break
+            parts = wider
+        out: list[list[np.ndarray]] = [[] for _ in words]
+        first = 0
+        for part, joint in zip(parts, [*joints, None], strict=True):
+            out[part[0]].append(known[part][first:joint and joint[0]])
+            first = joint[1] if joint else 0
+        return [np.concatenate(x) for x in out]
+
+    def _joint(self, a: tuple, ids_a: np.ndarray, b: tuple, ids_b: np.ndarray) -> tuple[int, int] | None:
+        """How many tokens of windows a and b end with the first one they have in common."""
+        if a[0] != b[0]:
+            return None
+        places = []
+        for (_, lo, _), ids in ((a, ids_a), (b, ids_b)):
+            size = self.length[ids]
+            places.append((lo + np.cumsum(size)) * 64 + size)
+        _, i, j = np.intersect1d(*places, assume_unique=True, return_indices=True)
+        return (int(i[0]) + 1, int(j[0]) + 1) if len(i) else None
+
     def learn(self, words: list[str]) -> None:
-        """Encode words the cache lacks, some ENCODE_BYTES at a time."""
+        """Encode words the cache lacks, a bounded number of bytes at a time."""
         known = [w for w in words if w.encode() in self.ranks]
         self._add(known, [np.array([self.ranks[w.encode()]], np.int32) for w in known])
         rest = [(w, w.encode()) for w in words if w not in self.index]
-        for steps, part in ((STEPS, [x for x in rest if len(x[1]) <= LONG]),
-                            (RUNS, [x for x in rest if len(x[1]) > LONG])):
-            ends = np.cumsum([len(b) for _, b in part])
-            cuts = np.flatnonzero(np.diff(ends // ENCODE_BYTES)) + 1
-            for lo, hi in zip([0, *cuts], [*cuts, len(part)], strict=True):
-                if hi > lo:
-                    self._add([w for w, _ in part[lo:hi]], self.contract([b for _, b in part[lo:hi]], steps))
+        for least, most, encode in (
+                (0, LONG, lambda x: self.contract_all(x, STEPS, ENCODE_BYTES)),
+                (LONG, WINDOW, lambda x: self.contract_all(x, RUNS, WINDOW_BYTES)),
+                (WINDOW, np.inf, self.windows)):
+            part = [x for x in rest if least < len(x[1]) <= most]
+            if part:
+                self._add([w for w, _ in part], encode([b for _, b in part]))
 
     def encode(self, words: pa.Array, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All texts' ids in one array and the number of ids of each text; ``words`` holds the

@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import random
 
 import public_tokenizers
 import pytest
@@ -11,7 +12,7 @@ from cases import CLASHES, TEXTS, no_rows, odd_rows
 from conftest_sf import SF_SMALL, table
 from pyspark.sql import functions as F
 
-from payerlake.llm.bpe import LONG, encode_decode
+from payerlake.llm.bpe import LONG, WINDOW, BytePairs, encode_decode
 from payerlake.llm.queries import QUERIES, SQL, URL_RULES
 from payerlake.llm.token_counts import Lengths, count_tokens
 from payerlake.llm.url_filter import RuleTrie, judge_urls
@@ -89,6 +90,24 @@ def test_bpe_equals_the_library(spark, library):
     assert encode_decode(no_rows(spark), RANKS, public_tokenizers.PATTERN).count() == 0
 
 
+def test_long_words_in_windows_equal_the_library(library):
+    """Random letters, periods of all phases, letters of several bytes; a word of 200,000 letters."""
+    rng, pairs = random.Random(5), BytePairs(RANKS)
+    words = ["".join(rng.choices(letters, k=k)) for letters, k in (
+        ("abcdefghijklmnopqrstuvwxyz", 200_000), ("ACGT", 20_000), ("漢字仮名交文", 3_000), ("กขคงจ", 3_000), ("ab", 5_000))]
+    words += [("abcdefg" * WINDOW)[:n] for n in (WINDOW, WINDOW + 1, 2 * WINDOW - 1, 5 * WINDOW + 3)]
+    words += ["a" * 20_001, "aaaaabaaaab" * 1_000, "=" * 3_333, "the" * 100 + "q" * 300 + "interna" * 50]
+    for word, ids in zip(words, pairs.windows([w.encode() for w in words]), strict=True):
+        assert ids.tolist() == library.encode_ordinary(word)
+
+
+def test_windows_without_a_common_token_become_one(library, monkeypatch):
+    monkeypatch.setattr("payerlake.llm.bpe.WINDOW", 4)
+    words = ["internationalization" * 5, "a" * 101, "=" * 77, "漢字" * 20]
+    for word, ids in zip(words, BytePairs(RANKS).windows([w.encode() for w in words]), strict=True):
+        assert ids.tolist() == library.encode_ordinary(word)
+
+
 def test_bpe_query_round_trip(spark, library):
     texts = dict(table("documents", "doc_id, text"))
     got = QUERIES["op2_bpe"](spark, SF_SMALL).collect()
