@@ -9,7 +9,12 @@ whole item against the band, which also yields the copy's place and edits. The f
 copy within the budget; the alignment removes all chance hits.
 
 Texts and items are compared by code points, lower-cased, any white space as a blank. The budget
-is ``RATE`` of an item's length, or less for short items so that the bound stays positive.
+is ``RATE`` of an item's length, or less for short items so that the bound stays positive. Items
+of fewer than ``MIN_ITEM`` characters are sought verbatim, those of fewer than ``Q`` as whole texts.
+
+Memory is bounded whatever recurs: hits are expanded ``EXPAND`` at a time in the order of the
+text, and a band is settled once the text has passed it. Of a run of one character that is longer
+than any copy, only both ends are searched, unless an item is within its budget of such a run.
 
 The index is broadcast. Its size is bounded: items are dealt into blocks of about
 ``BLOCK_CHARS`` characters by a hash of their id, and each block is one more pass over the texts.
@@ -30,8 +35,9 @@ from ._util import small_batches, text_or_empty
 
 Q = 8
 RATE = 0.10
-# Shorter items say too little to be told from chance and are not searched.
+# Shorter items have no edits to spare.
 MIN_ITEM = 32
+EXPAND = 2_000_000
 BLOCK_CHARS = 2_000_000
 SPAN_CHARS = 2_000_000
 # More cells than this in one alignment table are split over several candidates' groups.
@@ -75,13 +81,27 @@ class Index:
     item: np.ndarray
     place: np.ndarray
     seen: np.ndarray
+    # Items of fewer than Q characters, by their bytes; characters an item consists of, but for its
+    # budget; the longest copy.
+    tiny: dict[bytes, list[int]]
+    constant: np.ndarray
+    reach: int
 
     @classmethod
     def build(cls, rows: list[tuple[int, str]]) -> Index:
-        rows = [(i, c) for i, c in ((i, code_points(t.strip())) for i, t in rows if t) if len(c) >= MIN_ITEM]
+        rows = [(i, c) for i, c in ((i, code_points(t.strip())) for i, t in rows if t) if len(c)]
         sizes = np.array([len(c) for _, c in rows], np.int64)
         budget = np.minimum((sizes * RATE).astype(np.int64), sizes // Q - 1)
-        h = [grams(c) for _, c in rows]
+        budget[sizes < MIN_ITEM] = 0
+        h = [grams(c) if len(c) >= Q else np.zeros(0, np.uint64) for _, c in rows]
+        tiny: dict[bytes, list[int]] = {}
+        constant = set()
+        for j, (_, c) in enumerate(rows):
+            if len(c) < Q:
+                tiny.setdefault(c.tobytes(), []).append(j)
+            else:
+                chars, times = np.unique(c, return_counts=True)
+                constant.update(chars[len(c) - times <= budget[j]].tolist())
         flat = np.concatenate([*h, np.zeros(0, np.uint64)])
         item = np.repeat(np.arange(len(rows)), [len(x) for x in h])
         place = np.concatenate([*(np.arange(len(x)) for x in h), np.zeros(0, np.int64)])
@@ -91,7 +111,22 @@ class Index:
         seen[hashes >> _BITS] = True
         return cls(np.array([i for i, _ in rows], np.int64), [c for _, c in rows], budget,
                    sizes + 1 - Q * (budget + 1), hashes, np.r_[first, len(flat)], item[order],
-                   place[order].astype(np.int64), seen)
+                   place[order].astype(np.int64), seen, tiny, np.array(sorted(constant), np.uint32),
+                   int((sizes + budget).max(initial=0)))
+
+    def shorten(self, c: np.ndarray) -> tuple[np.ndarray, np.ndarray | None]:
+        """A text without the middles of its long runs of one character, and the places that are left."""
+        if len(c) <= 2 * self.reach:
+            return c, None
+        edge = np.flatnonzero(np.r_[True, c[1:] != c[:-1]])
+        size = np.diff(np.r_[edge, len(c)])
+        long = (size > 2 * self.reach) & ~np.isin(c[edge], self.constant)
+        if not long.any():
+            return c, None
+        keep = np.ones(len(c), bool)
+        for lo, n in zip(edge[long], size[long], strict=True):
+            keep[lo + self.reach:lo + n - self.reach] = False
+        return c[keep], np.flatnonzero(keep)
 
     def bands(self, text: np.ndarray, starts: np.ndarray) -> np.ndarray:
         """Rows (text, item, band, hits) of bands that reach the bound; texts begin at starts of ``text``."""
@@ -104,31 +139,32 @@ class Index:
         real = self.hashes[slot] == h[at]
         at, slot = at[real], slot[real]
         times = self.first[slot + 1] - self.first[slot]
-        total = np.cumsum(times)
-        entry = np.repeat(self.first[slot] - (total - times), times) + np.arange(total[-1] if len(total) else 0)
-        at, item = np.repeat(at, times), self.item[entry]
-        of = np.searchsorted(starts, at, side="right") - 1
-        step = self.budget[item] + 1
-        most = max(map(len, self.items))
-        band = (at - starts[of] - self.place[entry] + most) // step
+        sizes = np.array(list(map(len, self.items)))
+        most, many = int(sizes.max()), len(sizes)
         width = (int(np.diff(np.r_[starts, len(text)]).max()) + most) // int(self.budget.min() + 1) + 2
-        code = (of * len(self.items) + item) * width + band
-        # Band j holds diagonals j and j + 1 steps on; a hit counts in the two bands that hold it.
-        code = np.r_[code, np.where(band > 0, code - 1, code)]
-        kept, hits = np.unique(code, return_counts=True)
-        kept = kept[hits >= self.need[kept // width % len(self.items)]]
-        if not len(kept):
-            return np.zeros((0, 4), np.int64)
-        # What recurs in a text counts once: distinct places of the item among a band's hits.
-        slot = np.searchsorted(kept, code)
-        slot[slot == len(kept)] = 0
-        real = np.flatnonzero(kept[slot] == code)
-        places = np.unique(slot[real] * most + self.place[entry][real % len(entry)]) // most
-        hits = np.bincount(places, minlength=len(kept))
-        item = kept // width % len(self.items)
-        good = hits >= self.need[item]
-        code, item = kept[good], item[good]
-        return np.stack([code // width // len(self.items), item, code % width, hits[good]], axis=1)
+        cuts = np.r_[0, np.flatnonzero(np.diff(np.cumsum(times) // EXPAND)) + 1, len(at)]
+        out, rows = [np.zeros((0, 4), np.int64)], np.zeros(0, np.int64)
+        for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
+            n = times[lo:hi]
+            total = np.cumsum(n)
+            entry = np.repeat(self.first[slot[lo:hi]] - (total - n), n) + np.arange(total[-1] if len(n) else 0)
+            pos, item, place = np.repeat(at[lo:hi], n), self.item[entry], self.place[entry]
+            of = np.searchsorted(starts, pos, side="right") - 1
+            band = (pos - starts[of] - place + most) // (self.budget[item] + 1)
+            row = ((of * many + item) * width + band) * most + place
+            # Band j holds diagonals j and j + 1 steps on; a hit counts in the two bands that hold it.
+            # What recurs in a text counts once: distinct places of the item among a band's hits.
+            rows = np.unique(np.r_[rows, row, row[band > 0] - most])
+            code = rows // most
+            of, item, band = code // width // many, code // width % many, code % width
+            past = starts[of] + (band + 2) * (self.budget[item] + 1) - most + sizes[item]
+            settled = np.ones(len(rows), bool) if hi == len(at) else past <= at[hi]
+            code, hits = np.unique(code[settled], return_counts=True)
+            rows, item = rows[~settled], code // width % many
+            good = hits >= self.need[item]
+            out.append(np.stack([code // width // many, item, code % width, hits], axis=1)[good])
+        found = np.concatenate(out)
+        return found[np.lexsort((found[:, 2], found[:, 1], found[:, 0]))]
 
     def verify(self, text: np.ndarray, starts: np.ndarray, found: np.ndarray) -> list[tuple]:
         """(text, item, start, end, edits, hits) of bands whose alignment is within the budget."""
@@ -195,9 +231,17 @@ def matches(index: Index, texts: list[str]) -> list[tuple]:
     """(text, item, start, end, edits, hits), the best of overlapping copies of one item."""
     out, lo = [], 0
     while lo < len(texts):
-        parts, hi, size = [], lo, 0
+        parts, places, hi, size = [], [], lo, 0
         while hi < len(texts) and (hi == lo or size + len(texts[hi]) <= SPAN_CHARS):
-            parts.append(code_points(texts[hi]))
+            whole = code_points(texts[hi])
+            if len(whole) and index.tiny:
+                ends = np.flatnonzero(whole != 32)[[0, -1]] if (whole != 32).any() else np.zeros(2, int)
+                start, end = int(ends[0]), int(ends[1]) + 1
+                if end - start < Q:
+                    out += [(hi, i, start, end, 0, 0) for i in index.tiny.get(whole[start:end].tobytes(), ())]
+            part, place = index.shorten(whole)
+            parts.append(part)
+            places.append(place)
             size += len(parts[-1]) + 1
             hi += 1
         starts = np.cumsum([0, *(len(p) + 1 for p in parts[:-1])])
@@ -209,6 +253,8 @@ def matches(index: Index, texts: list[str]) -> list[tuple]:
             spans = taken.setdefault((t, item), [])
             if all(end <= s or start >= e for s, e in spans):
                 spans.append((start, end))
+                if places[t] is not None:
+                    start, end = int(places[t][start]), int(places[t][end - 1]) + 1
                 out.append((lo + t, item, start, end, edits, hits))
         lo = hi
     return sorted(out)
@@ -229,8 +275,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text:
     """One row per copy of an item in a document: key, item_id, start, end (code points, end
     exclusive), edits and shared_qgrams (hits in its band). Documents without copies have none.
 
-    Null and empty texts and items, and items of fewer than MIN_ITEM characters, match nothing.
-    Repeated rows give repeated matches; other columns are not read, whatever their names.
+    Null and empty texts and items match nothing. Items of fewer than MIN_ITEM characters match
+    verbatim, those of fewer than Q only a text that is nothing else. Repeated rows give repeated matches; other columns are not read, whatever their names.
     """
     spark = docs.sparkSession
     small_batches(spark)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from payerlake.llm import line_dedup, near_dedup
 from payerlake.llm.components import components
-from payerlake.llm.decontaminate import MIN_ITEM, Index, find_leaks, matches, remove_leaks
+from payerlake.llm.decontaminate import MIN_ITEM, RATE, Index, find_leaks, matches, remove_leaks
 from payerlake.llm.line_dedup import drop_lines, keep_bitmaps, without_lines
 from payerlake.llm.near_dedup import keep_one, near_duplicates
 from payerlake.llm.queries import QUERIES, SQL
@@ -263,6 +263,65 @@ def test_decontamination_by_blocks_of_items(spark, monkeypatch):
     assert hits <= {(r[0], r[1]) for r in whole}
 
 
+def edits_by_hand(item: str, text: str) -> int:
+    """Fewest edits of the whole item against any part of the text."""
+    row = [0] * (len(text) + 1)
+    for i, a in enumerate(item, 1):
+        new = [i]
+        for j, b in enumerate(text):
+            new.append(min(row[j] + (a != b), row[j + 1] + 1, new[j] + 1))
+        row = new
+    return min(row)
+
+
+def test_copies_around_the_budget_equal_brute_force(monkeypatch):
+    """Edits from none to beyond the budget: exactly the items within it are found, in chunks of any size."""
+    rng = random.Random(11)
+    items = [(i, "".join(rng.choices("abcdefghij ", k=rng.randrange(MIN_ITEM, 120))).strip().replace("  ", "x"))
+             for i in range(25)]
+    texts = []
+    for _, item in items:
+        for n in range(int(len(item) * RATE) + 3):
+            chars = list(item)
+            for at in rng.sample(range(len(chars)), n):
+                chars[at] = rng.choice(["z", "", chars[at] + "y"])
+            texts.append("z" * rng.randrange(40) + "".join(chars) + "z" * rng.randrange(40))
+    index = Index.build(items)
+    want = {(t, i) for t, text in enumerate(texts) for i, (_, item) in enumerate(items)
+            if abs(len(text) - len(item)) < 90 and edits_by_hand(item, text) <= index.budget[i]}
+    found = matches(index, texts)
+    assert {(m[0], m[1]) for m in found} == want and 25 * 4 < len(want) < len(texts)
+    monkeypatch.setattr("payerlake.llm.decontaminate.EXPAND", 50)
+    assert matches(index, texts) == found
+
+
+def test_long_runs_of_one_character():
+    """A million blanks and indented items: bounded memory, places in the whole text, copies between the runs."""
+    rng = random.Random(3)
+    items = [(i, "\n".join(" " * (4 * rng.randrange(1, 6)) + "".join(rng.choices("abcdefg()=", k=12)) for _ in range(6)))
+             for i in range(30)]
+    blanks = " " * 1_000_000
+    text = "x" + blanks + items[7][1] + blanks + "y" + items[9][1]
+    found = matches(Index.build(items), [text, blanks])
+    lower = text.replace("\n", " ")
+    assert [(m[0], m[1], m[4]) for m in found] == [(0, 7, 0), (0, 9, 0)]
+    for _, i, start, end, _, _ in found:
+        assert lower[start:end] == items[i][1].strip().replace("\n", " ")
+    # An item that is such a run itself is found along the whole run.
+    ruled = matches(Index.build([*items, (99, "-" * 40)]), ["a" + "-" * 4_000])
+    assert len(ruled) >= 90 and {m[1] for m in ruled} == {30}
+
+
+def test_short_items_are_sought_verbatim(spark):
+    items = [(1, "nine letters"), (2, "yes"), (3, "12345678"), (4, " Yes ")]
+    texts = ["it has Nine\tletters in it", "nine lettres", "yes, of course", " YES\n", "a 12345678", "1234567", "", "   "]
+    assert [(m[0], m[1], m[2], m[3]) for m in matches(Index.build(items), texts)] == [
+        (0, 0, 7, 19), (3, 1, 1, 4), (3, 3, 1, 4), (4, 2, 2, 10)]
+    odd = odd_rows(spark)
+    found = find_leaks(odd, spark.createDataFrame([(1, TEXTS[5]), (2, "one")], "item_id long, text string")).collect()
+    assert sorted((r.doc_id, r.item_id) for r in found) == [(4, 2), (5, 1), (len(TEXTS) + 1, 1), (len(TEXTS) + 1, 1)]
+
+
 def test_alignment_counts_edits():
     item = "".join(random.Random(i).choice("abcdefgh ") for i in range(MIN_ITEM * 3))
     index = Index.build([(1, item)])
