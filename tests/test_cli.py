@@ -36,13 +36,13 @@ def test_cli_ingest_and_reports():
     row = dict(CLAIM_ID="c-1", SUBSCRIBER_ID="P1", RENDERING_PROVIDER_NPI="7", RECEIVED_DT="20150301", SVC_FROM_DT="20150225",
                SVC_TO_DT="20150226", DIAG_CD="E11.9", PROC_CD="99213", BILLED_AMT="100.00", ALLOWED_AMT="80.00",
                PAID_AMT="76.00", CLM_STATUS="PAID", CLM_TYPE="Outpatient")
-    for name, header in (("good.csv", cols), ("bad.csv", cols[::-1])):
+    for name, header in (("good.csv", cols), ("bad.csv", [*cols[:-1], "OTHER"])):
         with open(f"{folder}/{name}", "w") as f:
             f.write(",".join(header) + "\n" + ",".join(row[c] for c in cols) + "\n")
     base = ("--root", root, "--master", "local[2]")
     assert run(*base, "bronze").returncode == 0
     out = run(*base, "--min-claim-date", "2010-01-01", "silver")
-    assert out.returncode == 1 and '"failed": 1' in out.stdout       # one file failed, the other is in
+    assert out.returncode == 1 and '"failed": 1' in out.stdout       # a column is missing; the other file is in
     assert run(*base, "gold").returncode == 0
     out = run(*base, "report")
     rows = json.loads(out.stdout.strip().splitlines()[-1])
