@@ -25,7 +25,7 @@ def test_pipeline_equals_brute_force(spark):
            if not r.kept and not r.base_failed}
     docs = [(d, t) for d, t in docs if not rules_by_hand(t)[-1] and d not in far]
     docs = list(cut_by_hand(docs).items())
-    group = near_components(docs)
+    group = near_components(docs, 80)
     docs = [(d, t) for d, t in docs if group[d] == d]
     bench = [b for _, b in table("benchmark", "item_id, text")]
     docs = [(d, t) for d, t in docs if not any(b in t for b in bench)]
