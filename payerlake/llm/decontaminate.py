@@ -139,30 +139,34 @@ class Index:
         real = self.hashes[slot] == h[at]
         at, slot = at[real], slot[real]
         times = self.first[slot + 1] - self.first[slot]
+        if not len(at):
+            return np.zeros((0, 4), np.int64)
         sizes = np.array(list(map(len, self.items)))
         most, many = int(sizes.max()), len(sizes)
+        bits = most.bit_length()
         width = (int(np.diff(np.r_[starts, len(text)]).max()) + most) // int(self.budget.min() + 1) + 2
         cuts = np.r_[0, np.flatnonzero(np.diff(np.cumsum(times) // EXPAND)) + 1, len(at)]
-        out, rows = [np.zeros((0, 4), np.int64)], np.zeros(0, np.int64)
+        out, rows = [], np.zeros(0, np.int64)
         for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
             n = times[lo:hi]
             total = np.cumsum(n)
-            entry = np.repeat(self.first[slot[lo:hi]] - (total - n), n) + np.arange(total[-1] if len(n) else 0)
-            pos, item, place = np.repeat(at[lo:hi], n), self.item[entry], self.place[entry]
-            of = np.searchsorted(starts, pos, side="right") - 1
-            band = (pos - starts[of] - place + most) // (self.budget[item] + 1)
-            row = ((of * many + item) * width + band) * most + place
+            entry = np.repeat(self.first[slot[lo:hi]] - (total - n), n) + np.arange(total[-1])
+            item, place = self.item[entry], self.place[entry]
+            of = np.searchsorted(starts, at[lo:hi], side="right") - 1
+            band = (np.repeat(at[lo:hi] - starts[of], n) - place + most) // (self.budget + 1)[item]
+            row = ((np.repeat(of * many, n) + item) * width + band << bits) + place
             # Band j holds diagonals j and j + 1 steps on; a hit counts in the two bands that hold it.
             # What recurs in a text counts once: distinct places of the item among a band's hits.
-            rows = np.unique(np.r_[rows, row, row[band > 0] - most])
-            code = rows // most
+            rows = np.sort(np.concatenate([rows, row, row[band > 0] - (1 << bits)]))
+            rows = rows[np.r_[True, rows[1:] != rows[:-1]]]
+            code = rows >> bits
+            begin = np.flatnonzero(np.r_[True, code[1:] != code[:-1]])
+            code, hits = code[begin], np.diff(np.r_[begin, len(rows)])
             of, item, band = code // width // many, code // width % many, code % width
             past = starts[of] + (band + 2) * (self.budget[item] + 1) - most + sizes[item]
-            settled = np.ones(len(rows), bool) if hi == len(at) else past <= at[hi]
-            code, hits = np.unique(code[settled], return_counts=True)
-            rows, item = rows[~settled], code // width % many
-            good = hits >= self.need[item]
-            out.append(np.stack([code // width // many, item, code % width, hits], axis=1)[good])
+            settled = np.ones(len(code), bool) if hi == len(at) else past <= at[hi]
+            out.append(np.stack([of, item, band, hits], axis=1)[settled & (hits >= self.need[item])])
+            rows = rows[~np.repeat(settled, hits)]
         found = np.concatenate(out)
         return found[np.lexsort((found[:, 2], found[:, 1], found[:, 0]))]
 
