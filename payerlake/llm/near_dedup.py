@@ -324,20 +324,30 @@ def gather(trees: DataFrame, limit: float) -> DataFrame:
     return over_regions(trees, lambda *region: _gather_region(*region, limit), ("group", "id"))
 
 
-def crowded(classes: DataFrame, batch: int, most: int) -> DataFrame:
+def crowded(classes: DataFrame, batch: int, most: int, groups: DataFrame | None = None) -> DataFrame:
     """id of the classes that share MIN_DEPTH leading minima of some tree with more than ``most`` - 1
-    others, not all of them of one component."""
-    def minimum(i: int):
-        return F.substring("sig", 4 * int(i) + 1, 4)
-
-    starts = F.array(*(F.concat(*map(minimum, of[:MIN_DEPTH])) for of in sequences(batch)))
-    prefix = classes.select("id", "component", F.posexplode(starts).alias("tree", "prefix"))
-    crowds = store(prefix.groupBy("tree", "prefix").agg(F.count("*").alias("size"), F.min("component").alias("least"),
-                                                        F.max("component").alias("greatest"))
-                   .filter((F.col("size") > most) & (F.col("least") < F.col("greatest"))), "crowds")
+    others, not all of them of one component, by ``groups`` (node, component) or the classes' own
+    column. Only members of such crowds are joined to components; a crowd is named by a hash of its tree and minima, as a collision only adds a comparison."""
+    starts = F.array(*(F.xxhash64(F.lit(t), *(F.substring("sig", 4 * int(i) + 1, 4) for i in of[:MIN_DEPTH]))
+                       for t, of in enumerate(sequences(batch))))
+    prefix = classes.select("id", F.explode(starts).alias("crowd"))
+    crowds = store(prefix.groupBy("crowd").agg(F.count("*").alias("size")).filter(F.col("size") > most)
+                   .select("crowd"), "crowds")
     if crowds.isEmpty():
         return classes.select("id").limit(0)
-    return prefix.join(crowds, ["tree", "prefix"], "left_semi").select("id").distinct()
+    members = store(prefix.join(crowds, "crowd", "left_semi"), "members")
+    if groups is None:
+        groups = classes.select(F.col("id").alias("node"), "component")
+    mixed = (named_by(members, groups).groupBy("crowd")
+             .agg(F.min("component").alias("least"), F.max("component").alias("greatest"))
+             .filter(F.col("least") < F.col("greatest")).select("crowd"))
+    return members.join(mixed, "crowd", "left_semi").select("id").distinct()
+
+
+def named_by(classes: DataFrame, groups: DataFrame) -> DataFrame:
+    """``classes`` with the component of each, its own id where it has no link."""
+    return (classes.join(groups.withColumnRenamed("node", "id"), "id", "left")
+            .withColumn("component", F.coalesce("component", "id")))
 
 
 def linked(ids: np.ndarray, sizes: np.ndarray, shingles: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
@@ -413,13 +423,9 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     proposed = store(propose(forest(reps.withColumn("component", F.col("id"))), limit), "proposed")
     groups = store(components(confirm(proposed.filter("a <> b"), docs, key, text, width, percent)), "components")
 
-    def named_by(groups: DataFrame) -> DataFrame:
-        return (reps.join(groups.withColumnRenamed("node", "id"), "id", "left")
-                .select("id", "n", "sig", F.coalesce("component", "id").alias("component")))
-
     todo, batch = proposed.filter("a = b").select(F.col("a").alias("id")), 0
     while not batch or not todo.isEmpty():
-        todo = store(named_by(groups).join(todo, "id", "left_semi"), "left")
+        todo = store(named_by(reps.join(todo, "id", "left_semi"), groups), "left")
         regions = store(gather(forest(todo, batch), limit), "regions")
         if not regions.isEmpty():
             found = store(decide_groups(regions, docs, key, text, width, percent), "decided")
@@ -428,7 +434,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
                 groups = store(components(groups.select(F.col("node").alias("a"), F.col("component").alias("b"))
                                           .unionAll(found)), "components")
         batch += 1
-        todo = crowded(named_by(groups), batch, REGION * CROWD ** (batch - 1))
+        todo = crowded(reps, batch, REGION * CROWD ** (batch - 1), groups)
     of_class = (classes.join(groups.withColumnRenamed("node", "rep"), "rep", "left")
                 .select("h1", "h2", "n", F.coalesce("component", "rep").alias("component")))
     out = sig.drop("sig").join(of_class, ["h1", "h2", "n"], "left")
