@@ -39,6 +39,26 @@ def test_vectors_without_a_score_are_left_out(spark, monkeypatch):
     assert retrieval.cosine_topk(corpus, queries.limit(0)).count() == 0
 
 
+def test_many_queries_are_scored_in_tiles(spark, monkeypatch):
+    """No product of a task is larger than a tile, and a task passes on k rows a query, whatever its batches."""
+    rng = np.random.default_rng(7)
+    X = rng.normal(size=(600, 8))
+    X[300:] = X[:300]  # every vector twice: ties go to the smaller id
+    corpus = spark.createDataFrame([(int(i), x.tolist()) for i, x in enumerate(X)], "vec_id long, embedding array<double>").coalesce(1)
+    queries = corpus.filter("vec_id % 2 = 0").selectExpr("vec_id AS query_id", "embedding AS query_vec")
+    unit = X / np.linalg.norm(X, axis=1, keepdims=True)
+    score = np.round(unit @ unit.T, 12)
+    want = {(q, r + 1): int(i) for q in range(0, 600, 2) for r, i in enumerate(np.lexsort((np.arange(600), -score[q]))[:4])}
+    monkeypatch.setattr(retrieval, "TILE_VALUES", 1000)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "50")
+    try:
+        got = {(r.query_id, r["rank"]): r.item_id for r in retrieval.cosine_topk(corpus, queries, 4).collect()}
+        rows = retrieval._score_block(corpus, queries.collect(), "vec_id", "embedding", 4).count()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert got == want and rows == 300 * 4
+
+
 def test_terms_with_codes_of_any_length(spark):
     from payerlake.operators.analytics import claims_by_term
     claims = spark.createDataFrame([("E11.9", "a", "Approved", 1.0), ("E11", "a", "Denied", 1.0), ("J45.2", "a", "Approved", 1.0),
