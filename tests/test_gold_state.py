@@ -113,3 +113,12 @@ def test_a_refresh_that_died_is_made_up_for(spark, lake, monkeypatch):
     gold.run_gold(spark, lake, TS2, DEFAULT)
     check(spark, lake)
     assert read_silver(spark, lake).count() == 1
+
+
+def test_runs_are_not_gathered_by_their_id(spark, lake):
+    """Claims meet the visible runs where they lie: dealt by run id, all of a run's would go through one task."""
+    from payerlake.sources.lake import ensure_tables, read_quarantine, read_silver
+    ensure_tables(spark, lake)
+    for table in (read_silver(spark, lake), read_quarantine(spark, lake)):
+        plan = table._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
