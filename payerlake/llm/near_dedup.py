@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._util import small_batches, store, text_or_empty
-from .components import components
+from .components import stars
 
 HASHES, TREES, DEPTH, MIN_DEPTH = 128, 8, 16, 2
 REGION, PARTNERS, CROWD = 512, 3, 2
@@ -344,6 +344,11 @@ def crowded(classes: DataFrame, batch: int, most: int, groups: DataFrame | None
     return members.join(mixed, "crowd", "left_semi").select("id").distinct()
 
 
+def of_links(links: DataFrame) -> DataFrame:
+    """node and component of the stars' links; a component's smallest class has no row."""
+    return links.select(F.col("a").alias("node"), F.col("b").alias("component"))
+
+
 def named_by(classes: DataFrame, groups: DataFrame) -> DataFrame:
     """``classes`` with the component of each, its own id where it has no link."""
     return (classes.join(groups.withColumnRenamed("node", "id"), "id", "left")
@@ -380,7 +385,7 @@ def linked(ids: np.ndarray, sizes: np.ndarray, shingles: np.ndarray, percent: in
 
 
 def decide_groups(groups: DataFrame, docs: DataFrame, key: str, text: str, width: int, percent: int) -> DataFrame:
-    """Links a, b that join what is linked within each group (group, id), by the classes' full sets."""
+    """Links a, b that join what is linked within each group (group, id), by the classes' full sets; the same of several groups."""
     sets = full_sets(docs.join(groups.select(F.col("id").alias(key)).distinct(), key, "left_semi"), key, text, width)
 
     def decide(table: pa.Table) -> pa.Table:
@@ -391,7 +396,7 @@ def decide_groups(groups: DataFrame, docs: DataFrame, key: str, text: str, width
         a, b = linked(table.column("id").to_numpy(), np.diff(own.offsets.to_numpy()), own.flatten().to_numpy(), percent)
         return pa.table({"a": a, "b": b})
 
-    return (groups.join(sets, "id").groupBy("group").applyInArrow(decide, "a long, b long").distinct())
+    return groups.join(sets, "id").groupBy("group").applyInArrow(decide, "a long, b long")
 
 
 def confirm(pairs: DataFrame, docs: DataFrame, key: str, text: str, width: int, percent: int) -> DataFrame:
@@ -421,21 +426,20 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     reps = store(named.join(classes.select(F.col("rep").alias("id")), "id", "left_semi").select("id", "n", "sig"),
                  "representatives")
     proposed = store(propose(forest(reps.withColumn("component", F.col("id"))), limit), "proposed")
-    groups = store(components(confirm(proposed.filter("a <> b"), docs, key, text, width, percent)), "components")
+    links = stars(store(confirm(proposed.filter("a <> b"), docs, key, text, width, percent), "confirmed"))
 
     todo, batch = proposed.filter("a = b").select(F.col("a").alias("id")), 0
     while not batch or not todo.isEmpty():
-        todo = store(named_by(reps.join(todo, "id", "left_semi"), groups), "left")
+        todo = store(named_by(reps.join(todo, "id", "left_semi"), of_links(links)), "left")
         regions = store(gather(forest(todo, batch), limit), "regions")
         if not regions.isEmpty():
             found = store(decide_groups(regions, docs, key, text, width, percent), "decided")
             if not found.isEmpty():
                 # The components so far are links as well: each class with its smallest one.
-                groups = store(components(groups.select(F.col("node").alias("a"), F.col("component").alias("b"))
-                                          .unionAll(found)), "components")
+                links = stars(links.unionAll(found))
         batch += 1
-        todo = crowded(reps, batch, REGION * CROWD ** (batch - 1), groups)
-    of_class = (classes.join(groups.withColumnRenamed("node", "rep"), "rep", "left")
+        todo = crowded(reps, batch, REGION * CROWD ** (batch - 1), of_links(links))
+    of_class = (classes.join(of_links(links).withColumnRenamed("node", "rep"), "rep", "left")
                 .select("h1", "h2", "n", F.coalesce("component", "rep").alias("component")))
     out = sig.drop("sig").join(of_class, ["h1", "h2", "n"], "left")
     component = F.when(F.col("id").isNotNull(), F.coalesce("component", "id"))

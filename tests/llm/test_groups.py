@@ -13,6 +13,7 @@ from conftest_sf import SF_SMALL, table
 from pyspark.sql import functions as F
 
 from payerlake.llm import line_dedup, near_dedup
+from payerlake.llm._util import store
 from payerlake.llm.components import components
 from payerlake.llm.decontaminate import MIN_ITEM, RATE, Index, find_leaks, matches, remove_leaks
 from payerlake.llm.line_dedup import drop_lines, keep_bitmaps, without_lines
@@ -395,3 +396,16 @@ def test_minima_estimate_similarity():
     b = np.r_[a[:3600], rng.integers(0, 2**63, 400).astype(np.uint64)]
     same = (near_dedup.minima(near_dedup.mix(a)) == near_dedup.minima(near_dedup.mix(b))).mean()
     assert abs(same - 3600 / 4400) < 0.15
+
+
+def test_stars_cost_one_round(spark, monkeypatch):
+    """Links that are stars already take no round, and a chain's rounds end without one that changes nothing."""
+    from payerlake.llm import components as C
+    rounds = []
+    monkeypatch.setattr(C, "store", lambda df, name: rounds.append(name) or store(df, name))
+    stars = store(spark.createDataFrame([(1, 2), (1, 3), (4, 5), (6, 6)], "a long, b long"), "links")
+    got = sorted(tuple(r) for r in C.stars(stars).collect())
+    assert got == [(2, 1), (3, 1), (5, 4)] and not rounds
+    assert C.stars(stars.limit(0)).count() == 0 and not rounds
+    chain = store(spark.createDataFrame([(1, 2), (2, 3), (3, 2)], "a long, b long"), "links")
+    assert sorted(tuple(r) for r in C.stars(chain).collect()) == [(2, 1), (3, 1)] and len(rounds) == 1
