@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._util import store
+from ._util import narrow, store
 
 
 def _large_star(links: DataFrame) -> DataFrame:
@@ -45,10 +45,19 @@ def stars(links: DataFrame) -> DataFrame:
     """
     links = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b")
     while not _are_stars(links):
-        links = store(_small_star(_large_star(links)), "links")
+        links = store(narrow(_small_star(_large_star(links))), "links")
     return links
 
 
+def merged(links: DataFrame, found: DataFrame) -> DataFrame:
+    """The stars ``links`` after further links ``found`` between their components, which are named by their smallest
+    nodes: the work is that of the components found linked, and one pass over the stars. ``found`` is read as ``stars`` does."""
+    joined = stars(found)
+    onto = joined.select(F.col("a").alias("b"), F.col("b").alias("onto"))
+    moved = links.join(onto, "b", "left").select("a", F.coalesce("onto", "b").alias("b"))
+    return store(narrow(moved.unionAll(joined)), "links")
+
+
 def components(links: DataFrame) -> DataFrame:
     """node, component (its smallest node) for each node of links (a, b), which are stored first; else as ``stars``."""
     links = stars(store(links.select("a", "b"), "links"))

@@ -16,9 +16,9 @@
 4. What is left is decided region by region: the classes that said so form the orders again, and
    each region sends the classes that have likely partners in other components to one group, with
    their full sets. There all pairs of the region's classes are decided at once (a product of the
-   classes' shingle table with itself), and only the links to each class's smallest reachable one
-   come out. A class is shipped once a region and never once a pair, so the work of a family of
-   similar texts grows with its classes, also where no pair of them is a link.
+   classes' shingle table with itself), and only links between components come out, which are merged
+   into the stars found so far. A class is shipped once a region and never once a pair, so the work of
+   a family of similar texts grows with its classes, also where no pair of them is a link.
 5. Where more than ``REGION`` classes share ``MIN_DEPTH`` minima, two classes need not meet in one
    of ``TREES`` orders. Such crowds go through 4 again with ``TREES`` further orders, other sequences
    of the same minima; a crowd of REGION * CROWD ** r classes gets r + 1 further batches of orders.
@@ -36,8 +36,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._util import small_batches, store, text_or_empty
-from .components import stars
+from ._util import narrow, small_batches, store, text_or_empty
+from .components import merged, stars
 
 HASHES, TREES, DEPTH, MIN_DEPTH = 128, 8, 16, 2
 REGION, PARTNERS, CROWD = 512, 3, 2
@@ -278,8 +278,8 @@ def _regions(prefix: np.ndarray, lo: int, hi: int, depth: int, windows: bool = T
                 yield from _regions(prefix, a, b, depth + 1, False)
 
 
-def over_regions(trees: DataFrame, decide, names: tuple[str, str]) -> DataFrame:
-    """The distinct pairs of numbers that ``decide`` (ids, n, component, low) gives for each region of
+def over_regions(trees: DataFrame, decide, names: tuple[str, ...]) -> DataFrame:
+    """The distinct rows of numbers that ``decide`` (ids, n, component, low) gives for each region of
     the forest's orders, streamed from sorted ranges."""
     def block(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
         table = pa.Table.from_batches(rows)
@@ -290,12 +290,12 @@ def over_regions(trees: DataFrame, decide, names: tuple[str, str]) -> DataFrame:
         equal = (keys[1:] == keys[:-1]) & (tree[1:] == tree[:-1])[:, None]
         prefix = np.r_[0, np.cumprod(equal, axis=1).sum(axis=1)]
         cuts = [0, *np.flatnonzero(prefix[1:] < MIN_DEPTH) + 1, len(ids)]
-        found = [(np.zeros(0, np.int64),) * 2]
+        found = [(np.zeros(0, np.int64),) * len(names)]
         for a, b in zip(cuts, cuts[1:], strict=False):
             for lo, hi in _regions(prefix, a, b, MIN_DEPTH):
                 found += decide(ids[lo:hi], n[lo:hi], component[lo:hi], low[lo:hi])
-        pairs = np.unique(np.stack([np.concatenate(x) for x in zip(*found, strict=True)]), axis=1)
-        return pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], list(names))
+        rows = np.unique(np.stack([np.concatenate(x) for x in zip(*found, strict=True)]), axis=1)
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in rows], list(names))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, rows = [], 0
@@ -320,8 +320,13 @@ def propose(trees: DataFrame, limit: float) -> DataFrame:
 
 
 def gather(trees: DataFrame, limit: float) -> DataFrame:
-    """group, id: the classes to be decided together, of bounded number and size."""
-    return over_regions(trees, lambda *region: _gather_region(*region, limit), ("group", "id"))
+    """group, id, component: the classes to be decided together, of bounded number and size."""
+    def gathered(ids, n, component, low) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        order = np.argsort(ids)
+        return [(group, own, component[order[np.searchsorted(ids, own, sorter=order)]])
+                for group, own in _gather_region(ids, n, component, low, limit)]
+
+    return over_regions(trees, gathered, ("group", "id", "component"))
 
 
 def crowded(classes: DataFrame, batch: int, most: int, groups: DataFrame | None = None) -> DataFrame:
@@ -331,8 +336,8 @@ def crowded(classes: DataFrame, batch: int, most: int, groups: DataFrame | None
     starts = F.array(*(F.xxhash64(F.lit(t), *(F.substring("sig", 4 * int(i) + 1, 4) for i in of[:MIN_DEPTH]))
                        for t, of in enumerate(sequences(batch))))
     prefix = classes.select("id", F.explode(starts).alias("crowd"))
-    crowds = store(prefix.groupBy("crowd").agg(F.count("*").alias("size")).filter(F.col("size") > most)
-                   .select("crowd"), "crowds")
+    crowds = store(narrow(prefix.groupBy("crowd").agg(F.count("*").alias("size")).filter(F.col("size") > most)
+                          .select("crowd")), "crowds")
     if crowds.isEmpty():
         return classes.select("id").limit(0)
     members = store(prefix.join(crowds, "crowd", "left_semi"), "members")
@@ -385,7 +390,7 @@ def linked(ids: np.ndarray, sizes: np.ndarray, shingles: np.ndarray, percent: in
 
 
 def decide_groups(groups: DataFrame, docs: DataFrame, key: str, text: str, width: int, percent: int) -> DataFrame:
-    """Links a, b that join what is linked within each group (group, id), by the classes' full sets; the same of several groups."""
+    """Links a, b of the components that links within a group (group, id, component) join, by the classes' full sets."""
     sets = full_sets(docs.join(groups.select(F.col("id").alias(key)).distinct(), key, "left_semi"), key, text, width)
 
     def decide(table: pa.Table) -> pa.Table:
@@ -393,10 +398,14 @@ def decide_groups(groups: DataFrame, docs: DataFrame, key: str, text: str, width
         own = table.column("shingles").chunk(0) if table.num_rows else None
         if own is None:
             return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
-        a, b = linked(table.column("id").to_numpy(), np.diff(own.offsets.to_numpy()), own.flatten().to_numpy(), percent)
-        return pa.table({"a": a, "b": b})
+        ids = table.column("id").to_numpy()
+        a, b = linked(ids, np.diff(own.offsets.to_numpy()), own.flatten().to_numpy(), percent)
+        names, at = np.unique(ids, return_index=True)
+        a, b = (table.column("component").to_numpy()[at[np.searchsorted(names, x)]] for x in (a, b))
+        pairs = np.unique(np.stack([np.maximum(a, b), np.minimum(a, b)])[:, a != b], axis=1)
+        return pa.table({"a": pairs[0], "b": pairs[1]})
 
-    return groups.join(sets, "id").groupBy("group").applyInArrow(decide, "a long, b long")
+    return groups.join(sets, "id").groupBy("group").applyInArrow(decide, "a long, b long").distinct()
 
 
 def confirm(pairs: DataFrame, docs: DataFrame, key: str, text: str, width: int, percent: int) -> DataFrame:
@@ -425,18 +434,17 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     classes = store(named.groupBy("h1", "h2", "n").agg(F.min("id").alias("rep")), "classes")
     reps = store(named.join(classes.select(F.col("rep").alias("id")), "id", "left_semi").select("id", "n", "sig"),
                  "representatives")
-    proposed = store(propose(forest(reps.withColumn("component", F.col("id"))), limit), "proposed")
+    proposed = store(narrow(propose(forest(reps.withColumn("component", F.col("id"))), limit)), "proposed")
     links = stars(store(confirm(proposed.filter("a <> b"), docs, key, text, width, percent), "confirmed"))
 
     todo, batch = proposed.filter("a = b").select(F.col("a").alias("id")), 0
     while not batch or not todo.isEmpty():
         todo = store(named_by(reps.join(todo, "id", "left_semi"), of_links(links)), "left")
-        regions = store(gather(forest(todo, batch), limit), "regions")
+        regions = store(narrow(gather(forest(todo, batch), limit)), "regions")
         if not regions.isEmpty():
-            found = store(decide_groups(regions, docs, key, text, width, percent), "decided")
+            found = store(narrow(decide_groups(regions, docs, key, text, width, percent)), "decided")
             if not found.isEmpty():
-                # The components so far are links as well: each class with its smallest one.
-                links = stars(links.unionAll(found))
+                links = merged(links, found)
         batch += 1
         todo = crowded(reps, batch, REGION * CROWD ** (batch - 1), of_links(links))
     of_class = (classes.join(of_links(links).withColumnRenamed("node", "rep"), "rep", "left")

@@ -8,6 +8,8 @@ from cases import near_components, shingles
 from pyspark.sql import functions as F
 
 from payerlake.llm import near_dedup as N
+from payerlake.llm._util import narrow, store
+from payerlake.llm.components import merged
 
 DOCS = "doc_id long, text string"
 
@@ -104,3 +106,31 @@ def test_all_tables_of_a_family_of_exact_and_near_copies(spark):
     rows = list(enumerate(texts))
     got = {r.doc_id: r.component_id for r in N.near_duplicates(spark.createDataFrame(rows, DOCS)).collect()}
     assert got == near_components(rows)
+
+
+def test_decided_groups_name_components_and_nothing_known(spark):
+    words = [f"w{i}" for i in range(200)]
+    texts = [" ".join(words), " ".join([*words[1:], "x1"]), " ".join([*words[1:], "x2"]), "texts of their own five words"]
+    docs = spark.createDataFrame(list(enumerate(texts)), DOCS)
+
+    def decided(components):
+        rows = [(g, i, c) for g in (7, 8) for i, c in enumerate(components)]
+        groups = spark.createDataFrame(rows, "group long, id long, component long")
+        return sorted(map(tuple, N.decide_groups(groups, docs, "doc_id", "text", 5, 85).collect()))
+    assert decided([0, 0, 0, 3]) == []
+    assert decided([0, 0, 2, 3]) == [(2, 0)]
+    assert decided([0, 1, 1, 3]) == [(1, 0)]
+
+
+def test_components_found_linked_are_merged_into_the_stars(spark):
+    links = spark.createDataFrame([(2, 1), (3, 1), (6, 5), (9, 8)], "a long, b long")
+    found = spark.createDataFrame([(5, 1), (7, 5), (11, 10)], "a long, b long")
+    got = sorted(map(tuple, merged(links, found).collect()))
+    assert got == [(2, 1), (3, 1), (5, 1), (6, 1), (7, 1), (9, 8), (11, 10)]
+
+
+def test_narrow_tables_go_into_a_few_files(spark):
+    df = spark.range(2000).repartition(200)
+    most = 4 * spark.sparkContext.defaultParallelism
+    kept = store(narrow(df), "narrow")
+    assert kept.count() == 2000 and len(kept.inputFiles()) <= most < len(store(df, "wide").inputFiles())
