@@ -1,10 +1,13 @@
 """What the file lake keeps on disk: packed files and tables, no shuffle files of ended writes, no claims that only fed it."""
 
+import collections
 import gzip
 import os
+import re
 import time
 
 import pyarrow.parquet as pq
+from pyspark.sql import functions as F
 from test_files import TS1, claim_row, write_file
 from test_state_shuffles import claims, plan
 
@@ -48,6 +51,27 @@ def orders(spark):
     return li, od, cu
 
 
+def test_line_items_are_shuffled_once(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(claims_from_orders(*orders(spark)))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    # Customers and orders by customer, then orders and line items by order; no claims by customer.
+    assert len(re.findall(r"Exchange hashpartitioning\((c|o)_custkey", text)) == 2
+    assert len(re.findall(r"Exchange hashpartitioning\((l|o)_orderkey", text)) == 2
+
+
+def test_rows_without_partners_or_with_several(spark):
+    li, od, cu = orders(spark)
+    li = li.unionByName(li.filter("l_orderkey = 1")).unionByName(li.filter("l_orderkey = 2").withColumn("l_orderkey", F.lit(None).cast("long")))
+    od = od.unionByName(od.filter("o_orderkey = 1")).withColumn("o_custkey", F.when(F.col("o_orderkey") != 3, F.col("o_custkey")))
+    cu = cu.unionByName(cu.filter("c_custkey = 1"))
+    counts = collections.Counter(r.claim_id.split("-")[1] for r in claims_from_orders(li, od, cu).collect())
+    assert counts["1"] == 2 * 2 * 2 * 2 and "3" not in counts and counts["2"] == 2 and counts["6"] == 4 and len(counts) == 39
+
+
 def test_feeds_are_packed_and_read_back(spark, lake):
     rows = store(claims_from_orders(*orders(spark)), "test-claims")
     FS.write_feeds(rows, lake.raw, FIXTURE)
